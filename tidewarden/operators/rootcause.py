@@ -101,10 +101,10 @@ def contributions(days: DataFrame, segments: DataFrame, cfg: EngineConfig) -> Da
     return top_drivers(segment_changes(days, segments, cfg), cfg)
 
 
-def evidence(days: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
+def evidence(days: DataFrame, drivers: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One evidence struct per flagged day, as ``(series_id, ds, evidence)``; every
-    dimension of the settings is in it, with an empty list where nothing is known."""
-    drivers = contributions(days, segments, cfg)
+    dimension of the settings is in it, with an empty list where nothing is known.
+    ``drivers`` are the ``contributions`` of these days."""
     listed = drivers.groupBy("series_id", F.col("anomaly_ds").alias("ds")).agg(
         F.sort_array(
             F.collect_list(
@@ -137,11 +137,14 @@ def evidence_json(document: Column) -> Column:
     return F.to_json(document, {"ignoreNullFields": "false"})
 
 
+def explained_days(long: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Evidence of each flagged day, as struct and as JSON text ``root_cause_json``."""
+    days = primary_kpi(long, cfg)
+    found = evidence(days, contributions(days, segments, cfg), cfg)
+    return found.withColumn("root_cause_json", evidence_json(F.col("evidence")))
+
+
 def attach_root_cause(long: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Adds ``root_cause_json`` to the rows of flagged days."""
-    found = evidence(primary_kpi(long, cfg), segments, cfg)
-    return long.join(
-        found.select("series_id", "ds", evidence_json(F.col("evidence")).alias("root_cause_json")),
-        ["series_id", "ds"],
-        "left",
-    )
+    found = explained_days(long, segments, cfg).drop("evidence")
+    return long.join(found, ["series_id", "ds"], "left")

@@ -22,9 +22,9 @@ from ..operators.kpis import kpi_daily_from_rollup, to_long, to_wide
 from ..operators.quality import quality_report, quality_status
 from ..operators.risk import classify_risk
 from ..operators.rollup import daily_rollup, segment_daily_from_rollup
-from ..operators.rootcause import evidence, evidence_json, primary_kpi
+from ..operators.rootcause import explained_days
 from ..operators.scenario import apply_scenarios
-from ..sources.tables import write_table
+from ..sources.tables import Steps, write_table
 
 OK = "OK"
 STOPPED = "STOPPED_DATA_QUALITY_FAIL"
@@ -62,12 +62,6 @@ def wide_features(long: DataFrame, cfg: EngineConfig) -> DataFrame:
     return to_wide(long, cfg.kpis, columns, keep)
 
 
-def explained_days(long: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Evidence of each flagged day, as struct and as JSON text."""
-    found = evidence(primary_kpi(long, cfg), segments, cfg)
-    return found.withColumn("root_cause_json", evidence_json(F.col("evidence")))
-
-
 def _edge(df: DataFrame, series_col: str | None) -> DataFrame:
     """Without a series column the constant key is left out of what users read."""
     return df if series_col else df.drop("series_id")
@@ -91,10 +85,7 @@ def run_pipeline(
     cfg = cfg or EngineConfig()
     out = output_dir.rstrip("/")
 
-    def step(df: DataFrame, name: str) -> DataFrame:
-        path = write_table(df, f"{out}/_steps/{name}")
-        return spark.read.schema(df.schema).parquet(path)
-
+    step = Steps(f"{out}/_steps")
     rollup = step(daily_rollup(raw, cfg.dimensions, series_col, fanout), "rollup")
     series = step(apply_scenarios(kpi_daily_from_rollup(rollup), cfg), "series")
 
@@ -113,5 +104,5 @@ def run_pipeline(
     alerts = build_alerts(found, explained_days(found, segments, cfg), passed)
     alerts_path = write_table(_edge(alerts, series_col), f"{out}/alerts", fmt)
     return PipelineResult(
-        OK, kpi_path, report_path, alerts_path, f"{out}/_steps/features", f"{out}/_steps/rollup"
+        OK, kpi_path, report_path, alerts_path, step.path("features"), step.path("rollup")
     )

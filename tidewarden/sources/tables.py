@@ -117,3 +117,21 @@ def read_alerts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
         # Evidence text may hold line breaks and quotes.
         reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
     return reader.format(fmt).load(path)
+
+
+class Steps:
+    """Tables between the steps of a job, in a folder all executors share.
+
+    Calling it writes a table and returns it as a scan: what several steps read is
+    computed once, and a lost executor costs a read, not the steps before.
+    """
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder.rstrip("/")
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = write_table(df, self.path(name))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
