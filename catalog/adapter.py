@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from tidewarden.operators.facts import RawTables
 
 
+# The columns read, declared so that no job is needed to look them up.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_tax double",
+}
+
+
 def cents(x: Column) -> Column:
     """Rounded to cents by arithmetic that every engine does alike; their rounding
     functions differ on values just below half a cent."""
@@ -20,7 +31,7 @@ def cents(x: Column) -> Column:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     orders = table("orders")
     order_key = F.col("o_orderkey")

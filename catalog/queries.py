@@ -86,31 +86,36 @@ def _series(spark: SparkSession, sf: str, by: str | None = None) -> DataFrame:
     return _in_cents(kpi_daily_from_rollup(daily_rollup(raw_tables(spark, sf), (), by)))
 
 
+def _segments_of(rollup: DataFrame) -> DataFrame:
+    return segment_daily_from_rollup(rollup).withColumn("revenue", F.round("revenue", 2))
+
+
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
-    segments = segment_daily_from_rollup(daily_rollup(raw_tables(spark, sf), FIXTURE.dimensions))
-    return segments.withColumn("revenue", F.round("revenue", 2))
+    return _segments_of(daily_rollup(raw_tables(spark, sf), FIXTURE.dimensions))
 
 
 def _features(spark: SparkSession, sf: str, cfg: EngineConfig = FIXTURE) -> DataFrame:
     return features(_series(spark, sf), cfg)
 
 
-def _drivers(days: DataFrame, segments: DataFrame) -> DataFrame:
-    return top_drivers(rounded(segment_changes(days, segments, FIXTURE)), FIXTURE)
+def _steps(spark: SparkSession, sf: str) -> tuple[Steps, DataFrame, DataFrame]:
+    """Series and segments from one pass over the raw tables, by way of a table."""
+    step = Steps(shared_folder(spark))
+    rollup = step(daily_rollup(raw_tables(spark, sf), FIXTURE.dimensions), "rollup")
+    return step, _in_cents(kpi_daily_from_rollup(rollup)), _segments_of(rollup)
 
 
-def _flagged_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Days with their primary metric, as a table: it is small, and read twice."""
-    return Steps(shared_folder(spark))(primary_kpi(_features(spark, sf), FIXTURE), "days")
+def _drivers(days: DataFrame, segments: DataFrame) -> DataFrame:
+    return top_drivers(rounded(segment_changes(days, segments, FIXTURE)), FIXTURE)
 
 
 def _alerts(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with overlay and evidence, by way of the tables the job writes too."""
-    step = Steps(shared_folder(spark))
-    series = step(apply_scenarios(_series(spark, sf), FIXTURE), "series")
+    step, series, segments = _steps(spark, sf)
+    series = step(apply_scenarios(series, FIXTURE), "series")
     long = step(features(series, FIXTURE), "features")
     days = primary_kpi(long, FIXTURE)
-    found = evidence(days, _drivers(days, _segments(spark, sf)), FIXTURE)
+    found = evidence(days, _drivers(days, segments), FIXTURE)
     found = found.select("series_id", "ds", evidence_json(F.col("evidence")).alias("root_cause_json"))
     return step(rounded(al.build_alerts(long, found, quality_status(quality_report(series)))), "alerts")
 
@@ -253,19 +258,20 @@ def q_primary_kpi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_segment_changes(spark: SparkSession, sf: str) -> DataFrame:
-    days = primary_kpi(_features(spark, sf), FIXTURE)
-    changes = segment_changes(days, _segments(spark, sf), FIXTURE)
+    _, series, segments = _steps(spark, sf)
+    changes = segment_changes(primary_kpi(features(series, FIXTURE), FIXTURE), segments, FIXTURE)
     return rounded(changes.drop("series_id", "unknown_today"))
 
 
 def q_root_cause_top(spark: SparkSession, sf: str) -> DataFrame:
-    days = primary_kpi(_features(spark, sf), FIXTURE)
-    return rounded(_drivers(days, _segments(spark, sf)).drop("series_id"))
+    _, series, segments = _steps(spark, sf)
+    days = primary_kpi(features(series, FIXTURE), FIXTURE)
+    return rounded(_drivers(days, segments).drop("series_id"))
 
 
 def q_root_cause_json(spark: SparkSession, sf: str) -> DataFrame:
-    long = Steps(shared_folder(spark))(_features(spark, sf), "features")
-    found = attach_root_cause(long, _segments(spark, sf), FIXTURE)
+    step, series, segments = _steps(spark, sf)
+    found = attach_root_cause(step(features(series, FIXTURE), "features"), segments, FIXTURE)
     document = F.from_json("root_cause_json", "struct<primary_kpi:string,evidence:array<struct<dimension:string,top:array<struct<segment:string>>>>>")
     return found.where(F.col("root_cause_json").isNotNull()).select(
         "ds", "kpi", document["primary_kpi"].alias("primary_kpi"), F.inline(document["evidence"])
@@ -361,8 +367,9 @@ def q_feed_incident_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_feed_root_cause_signals(spark: SparkSession, sf: str) -> DataFrame:
-    days = _flagged_days(spark, sf)
-    signals = feeds.root_cause_signals(evidence(days, _drivers(days, _segments(spark, sf)), FIXTURE))
+    step, series, segments = _steps(spark, sf)
+    days = step(primary_kpi(features(series, FIXTURE), FIXTURE), "days")
+    signals = feeds.root_cause_signals(evidence(days, _drivers(days, segments), FIXTURE))
     return rounded(signals).drop("series_id")
 
 

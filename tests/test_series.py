@@ -1,0 +1,195 @@
+"""Mart, metrics, roll-up, scenarios and quality on small inputs."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import d, raw, wide
+from tidewarden.config import EngineConfig, ScenarioEvent
+from tidewarden.operators.facts import order_facts
+from tidewarden.operators.kpis import kpi_daily, kpi_daily_from_rollup, to_long, to_wide
+from tidewarden.operators.quality import quality_report, quality_status
+from tidewarden.operators.rollup import daily_rollup, segment_daily, segment_daily_from_rollup
+from tidewarden.operators.scenario import apply_scenarios
+
+
+def two_payments(spark):
+    return raw(
+        spark,
+        orders=[("o1", "c1", "delivered", "2018-01-01 10:00:00")],
+        customers=[("c1", "SP")],
+        items=[("o1", "p1", 10.0, 1.0), ("o1", "p2", 20.0, 2.0)],
+        products=[("p1", "toys")],
+        payments=[("o1", "card", 30.0), ("o1", "voucher", 3.0)],
+    )
+
+
+def tidy(df, places=6):
+    df = df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("fanout, revenue", [("faithful", 66.0), ("dedup", 33.0)])
+def test_payments_repeat_items(spark, fanout, revenue):
+    tables = two_payments(spark)
+    for series in (
+        kpi_daily(order_facts(tables, fanout)),
+        kpi_daily_from_rollup(daily_rollup(tables, fanout=fanout)),
+        kpi_daily_from_rollup(daily_rollup(tables, (), fanout=fanout)),
+    ):
+        row = series.first()
+        assert (row.ds, row.revenue, row.orders, row.aov, row.payment_fail_rate) == (d(1), revenue, 1, revenue, 0.0)
+
+
+def test_orders_without_items_are_left_out(spark):
+    tables = raw(spark, orders=[("o1", "c1", "canceled", "2018-01-01")], customers=[("c1", "SP")])
+    assert kpi_daily(order_facts(tables)).count() == 0
+    assert daily_rollup(tables).count() == 0
+
+
+def test_day_with_only_a_canceled_order(spark):
+    tables = raw(
+        spark,
+        orders=[("o1", "c1", "canceled", "2018-01-01")],
+        customers=[("c1", "SP")],
+        items=[("o1", "p1", 5.0, 1.0)],
+    )
+    for series in (kpi_daily(order_facts(tables)), kpi_daily_from_rollup(daily_rollup(tables))):
+        row = series.first()
+        assert (row.revenue, row.orders, row.aov, row.payment_fail_rate) == (0.0, 0, None, 1.0)
+
+
+def awkward(spark):
+    """Repeated orders, customers and products, unknown statuses, amounts and segments,
+    and one order that holds most items and payments."""
+    orders = [(f"o{i}", f"c{i % 5}", ["delivered", "canceled", None][i % 3 if i % 7 else 0], f"2018-01-0{1 + i % 3} 0{i % 9}:00:00") for i in range(40)]
+    orders += [("o3", "c3", "delivered", "2018-01-01 05:00:00"), ("o3", "c4", "canceled", "2018-01-01 06:00:00"), ("o6", "c1", "delivered", "2018-01-03")]
+    items = [(f"o{i % 37}", f"p{i % 6}", None if i % 11 == 0 else i / 4, i % 3 / 2) for i in range(120)]
+    items += [("o0", f"p{i % 3}", 1.0, 0.25) for i in range(200)]
+    payments = [(f"o{i}", ["card", "voucher", None][i % 3], float(i)) for i in range(0, 40, 2)]
+    payments += [("o0", ["card", "slip"][i % 2], 1.0) for i in range(60)]
+    return raw(
+        spark,
+        orders=orders,
+        customers=[("c0", "SP"), ("c1", None), ("c2", "RJ"), ("c3", "SP"), ("c3", "MG"), ("c4", "RJ")],
+        items=items,
+        products=[("p0", "toys"), ("p1", None), ("p2", "books"), ("p2", "books"), ("p3", "toys"), ("p4", "art")],
+        payments=payments,
+    )
+
+
+@pytest.mark.parametrize("fanout", ["faithful", "dedup"])
+@pytest.mark.parametrize("series_col", [None, "customer_state"])
+def test_rollup_equals_the_mart(spark, fanout, series_col):
+    tables = awkward(spark)
+    dims = ("customer_state", "product_category_name", "product_id", "payment_type", "order_status", "order_id")
+    facts, rollup = order_facts(tables, fanout), daily_rollup(tables, dims, series_col, fanout)
+    assert tidy(kpi_daily_from_rollup(rollup)) == tidy(kpi_daily(facts, series_col))
+    assert tidy(segment_daily_from_rollup(rollup)) == tidy(segment_daily(facts, dims, series_col))
+    assert tidy(kpi_daily_from_rollup(daily_rollup(tables, (), series_col, fanout))) == tidy(kpi_daily(facts, series_col))
+
+
+def test_rollup_equals_the_mart_with_forced_shuffle_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_rollup_equals_the_mart(spark, "faithful", None)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_unknown_dimension_is_refused(spark):
+    with pytest.raises(ValueError, match="no such mart column"):
+        daily_rollup(two_payments(spark), ("order_segment",))
+    with pytest.raises(ValueError, match="fanout"):
+        order_facts(two_payments(spark), "none")
+
+
+def test_nan_and_text_become_null_in_long_form_and_wide_form_returns(spark):
+    df = wide(spark, [(d(1), float("nan"), 2.0, None, 0.5)])
+    long = to_long(df)
+    assert {(r.kpi, r.value) for r in long.collect()} == {
+        ("revenue", None), ("orders", 2.0), ("aov", None), ("payment_fail_rate", 0.5)
+    }
+    back = to_wide(long).first()
+    assert (back.revenue, back.orders, back.aov, back.payment_fail_rate) == (None, 2.0, None, 0.5)
+
+
+def test_overlapping_events_compound_and_the_last_label_stays(spark):
+    cfg = EngineConfig(
+        scenario_noise=0.0,
+        scenario_events=(
+            ScenarioEvent("revenue", str(d(1)), 3, 0.5, "A"),
+            ScenarioEvent("revenue", str(d(2)), 3, 2.0, "B"),
+            ScenarioEvent("unknown", str(d(1)), 9, 9.0, "C"),
+            ScenarioEvent("orders", "2019-01-01", 9, 9.0, "D"),
+        ),
+    )
+    df = wide(spark, [(d(i), 100.0, 10.0, 10.0, 0.0) for i in range(1, 6)])
+    rows = apply_scenarios(df, cfg).orderBy("ds").collect()
+    assert [r.revenue for r in rows] == [50.0, 100.0, 100.0, 200.0, 100.0]
+    assert [r.injected_label for r in rows] == ["A", "B", "B", "B", None]
+    assert {r.aov for r in rows} == {10.0} and {r.orders for r in rows} == {10.0}
+
+
+def test_noise_is_seeded_and_near_one(spark):
+    cfg = EngineConfig(scenario_events=(ScenarioEvent("revenue", str(d(1)), 2000, 1.0, "A"),))
+    df = wide(spark, [(d(i), 1.0, 1.0, 1.0, 0.0) for i in range(1, 2001)])
+    values = [r.revenue for r in apply_scenarios(df, cfg).orderBy("ds").collect()]
+    again = [r.revenue for r in apply_scenarios(df.repartition(5), cfg).orderBy("ds").collect()]
+    other = [r.revenue for r in apply_scenarios(df, cfg.with_(scenario_seed=7)).orderBy("ds").collect()]
+    assert values == again != other
+    mean = sum(values) / len(values)
+    std = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
+    assert abs(mean - 1) < 0.001 and abs(std - 0.01) < 0.001
+
+
+def test_no_scenarios_leave_the_series_alone(spark):
+    df = wide(spark, [(d(1), 1.0, 2.0, 3.0, 0.0)])
+    for cfg in (EngineConfig(scenario_enabled=False), EngineConfig(scenario_events=())):
+        row = apply_scenarios(df, cfg).first()
+        assert (row.revenue, row.injected_label) == (1.0, None)
+
+
+def issues(df):
+    return {(r.check, r.severity, r.detail) for r in quality_report(df).collect()}
+
+
+def days(*dates, **changed):
+    base = {"revenue": 1.0, "orders": 1.0, "aov": 1.0, "payment_fail_rate": 0.0} | changed
+    return [(x, *base.values()) for x in dates]
+
+
+def test_clean_series_has_one_pass_row(spark):
+    assert issues(wide(spark, days(d(1), d(3)))) == {("all", "PASS", "No issues detected")}
+
+
+def test_null_and_repeated_dates_fail(spark):
+    df = wide(spark, days(None, None, d(1), d(1), d(1)))
+    assert issues(df) == {("ds_nulls", "FAIL", "ds contains nulls"), ("ds_duplicates", "FAIL", "3 duplicate dates")}
+    assert quality_status(quality_report(df)).first().validation_status == "FAIL"
+
+
+@pytest.mark.parametrize("nulls, expected", [(1, {("all", "PASS", "No issues detected")}), (2, {("null_rate_aov", "WARN", "aov null rate = 4.00%")})])
+def test_null_rate_above_two_percent_warns(spark, nulls, expected):
+    rows = days(*[d(i) for i in range(1, 51 - nulls)]) + days(*[d(i) for i in range(51 - nulls, 51)], aov=None)
+    df = wide(spark, rows)
+    assert issues(df) == expected
+
+
+def test_gaps_and_negative_values(spark):
+    assert issues(wide(spark, days(d(1), d(2), d(5)))) == {("date_gaps", "WARN", "Max gap between dates = 3 days")}
+    assert issues(wide(spark, days(d(1), revenue=-1.0, orders=-2.0))) == {
+        ("revenue_negative", "FAIL", "1 days with revenue < 0"),
+        ("orders_negative", "FAIL", "1 days with orders < 0"),
+    }
+
+
+def test_missing_columns_fail(spark):
+    assert issues(wide(spark, days(d(1))).drop("aov", "ds")) == {
+        ("schema_required_cols", "FAIL", "Missing: ['aov', 'ds']")
+    }

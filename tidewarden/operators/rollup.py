@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DIMENSIONS
@@ -42,6 +42,30 @@ def segment_entries(dimensions: Sequence[str]) -> list[Column]:
     return [segment_entry(d, F.col(d)) for d in dimensions]
 
 
+def _first(columns: Sequence[str], order: Sequence[str]) -> Column:
+    """True on one row of an order for each combination of ``columns``, which start the
+    list ``order``. Rows are sorted by order anyway to be joined, so this costs a scan."""
+    w = Window.partitionBy("order_id").orderBy(*order)
+    again = F.row_number().over(w) > 1
+    for c in columns:
+        again = again & F.lag(c).over(w).eqNullSafe(F.col(c))
+    return ~again
+
+
+def _parts(rows: DataFrame, dims: Sequence[str], measure: Column, name: str, flag: str) -> DataFrame:
+    """A child table of the orders reduced to one row per order and combination of
+    ``dims``, marking one row of each order (``flag``) and one of each of its segments
+    (``flag_<dimension>``)."""
+    parts = rows.groupBy("order_id", *dims).agg(measure.alias(name))
+    if not dims:
+        return parts.withColumn(flag, F.lit(True))
+    marks = [_first([], dims).alias(flag)]
+    for d in dims:
+        one = F.lit(True) if len(dims) == 1 else _first([d], [d])
+        marks.append(one.alias(f"{flag}_{d}"))
+    return parts.select("*", *marks)
+
+
 def daily_rollup(
     raw: RawTables,
     dimensions: Sequence[str] = DEFAULT_DIMENSIONS,
@@ -50,69 +74,89 @@ def daily_rollup(
 ) -> DataFrame:
     """Daily measures of each segment, and of the whole day under dimension ``TOTAL``.
 
-    Columns: ``series_id, ds, dimension, segment, revenue`` (of delivered orders),
-    ``orders`` (distinct delivered), ``failed`` (distinct, other status), ``total``
-    (distinct). Segments without a delivered order have ``orders`` 0. ``series_col``
-    is an attribute of the order or its customer.
+    Columns: ``series_id, ds, dimension, segment, revenue`` (of delivered orders) and
+    ``orders`` (distinct delivered), and for the whole day ``failed`` (distinct orders of
+    another status) and ``total`` (distinct orders). ``series_col`` is an attribute of
+    the order or its customer.
+
+    Distinct orders are counted without another shuffle: the rows of an order are
+    together when it is joined, so one row for each thing to count is marked there.
     """
     check_fanout(fanout)
+    dimensions = list(dict.fromkeys(dimensions))
     unknown = set(dimensions) - set(MART_COLUMNS)
     if unknown:
         raise ValueError(f"no such mart column: {sorted(unknown)}")
     if series_col and series_col not in HEADER_COLUMNS:
         raise ValueError(f"series_col must be one of {HEADER_COLUMNS}")
+    header_dims = [d for d in dimensions if d in HEADER_COLUMNS]
+    item_dims = [d for d in dimensions if d in ITEM_COLUMNS]
+    payment_dims = [d for d in dimensions if d in PAYMENT_COLUMNS]
 
-    def among(columns: Sequence[str]) -> list[str]:
-        return [d for d in dict.fromkeys(dimensions) if d in columns and d != "order_id"]
-
-    delivered = F.col("order_status") == "delivered"
+    day_key, status_key = ["series_id", "ds"], ["series_id", "ds", "order_status"]
+    order = [*status_key, *[f"seg_{d}" for d in header_dims[:1]]]
     headers = order_headers(raw).select(
         "order_id",
         series_column(series_col),
         F.col("purchase_date").alias("ds"),
-        delivered.alias("delivered"),
-        (~delivered).alias("failed"),
-        *among(HEADER_COLUMNS),
+        "order_status",
+        *[F.col(d).cast("string").alias(f"seg_{d}") for d in header_dims],
     )
-    items = (
-        priced_items(raw)
-        .groupBy("order_id", *among(ITEM_COLUMNS))
-        .agg(F.sum(F.col("price") + F.col("freight_value")).alias("amount"))
-    )
-    payments = (
-        order_payments(raw, fanout)
-        .groupBy("order_id", *among(PAYMENT_COLUMNS))
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    reduced = (
-        headers.join(items, "order_id")
-        .join(payments, "order_id", "left")
-        .withColumn("amount", F.col("amount") * F.coalesce("times", F.lit(1)))
+    headers = headers.select(
+        "*",
+        _first(day_key, order).alias("h_day"),
+        _first(status_key, order).alias("h"),
+        *[
+            _first([*status_key, f"seg_{d}"], [*status_key, f"seg_{d}"]).alias(f"h_{d}")
+            for d in header_dims
+        ],
     )
+    amount = F.sum(F.col("price") + F.col("freight_value"))
+    items = _parts(priced_items(raw), item_dims, amount, "amount", "i")
+    payments = _parts(order_payments(raw, fanout), payment_dims, F.count(F.lit(1)), "times", "p")
+    joined = headers.join(items, "order_id").join(payments, "order_id", "left")
+
+    def mark(*names: str) -> Column:
+        """All marks hold; the marks of the payment an order does not have do."""
+        out = F.lit(True)
+        for n in names:
+            out = out & F.coalesce(F.col(n), F.lit(True))
+        return out
 
-    entries = F.array(segment_entry(TOTAL, F.lit(None)), *segment_entries(dimensions))
-    rows = reduced.select(
-        "order_id", "series_id", "ds", "delivered", "failed", "amount", F.inline(entries)
-    )
-    counted = (
-        F.when(F.col("delivered"), F.col("amount"))
-        .when(F.col("dimension") == TOTAL, 0.0)
-    )
-    # Still partitioned by order, so this step moves no data.
-    per_order = rows.groupBy("order_id", "series_id", "ds", "dimension", "segment").agg(
-        F.sum(counted).alias("amount"),
-        F.bool_or("delivered").alias("delivered"),
-        F.bool_or("failed").alias("failed"),
+    delivered = F.col("order_status") == "delivered"
+    counted = {d: mark(f"h_{d}", "i", "p") for d in header_dims}
+    counted |= {d: mark("h", f"i_{d}", "p") for d in item_dims}
+    counted |= {d: mark("h", "i", f"p_{d}") for d in payment_dims}
+    rows = joined.select(
+        "series_id",
+        "ds",
+        delivered.alias("delivered"),
+        (F.col("amount") * F.coalesce("times", F.lit(1))).alias("amount"),
+        F.lit(None).cast("string").alias(TOTAL),
+        mark("h", "i", "p").alias(f"n_{TOTAL}"),
+        mark("h_day", "i", "p").alias(f"all_{TOTAL}"),
+        *[F.col(f"seg_{d}" if d in header_dims else d).cast("string").alias(d) for d in counted],
+        *[c.alias(f"n_{d}") for d, c in counted.items()],
+        F.lit(False).alias("none"),
     )
-    return per_order.groupBy("series_id", "ds", "dimension", "segment").agg(
-        F.sum("amount").alias("revenue"),
-        F.count_if("delivered").alias("orders"),
-        F.count_if("failed").alias("failed"),
-        F.count(F.lit(1)).alias("total"),
+    sets = [f"(`{TOTAL}`, `n_{TOTAL}`, `all_{TOTAL}`) AS `{TOTAL}`"]
+    sets += [f"(`{d}`, `n_{d}`, `none`) AS `{d}`" for d in counted]
+    entries = rows.sparkSession.sql(
+        "SELECT * FROM {rows} UNPIVOT INCLUDE NULLS "
+        f"((segment, counted, in_total) FOR dimension IN ({', '.join(sets)}))",
+        rows=rows,
+    ).where((F.col("dimension") == TOTAL) | F.col("delivered"))
+    return entries.groupBy("series_id", "ds", "dimension", "segment").agg(
+        F.sum(F.when(F.col("delivered"), F.col("amount")).otherwise(0.0)).alias("revenue"),
+        F.count_if(F.col("delivered") & F.col("counted")).alias("orders"),
+        F.count_if(~F.col("delivered") & F.col("counted")).alias("failed"),
+        F.count_if("in_total").alias("total"),
     )
 
 
-def segment_daily(facts: DataFrame, dimensions: Sequence[str] = DEFAULT_DIMENSIONS, series_col: str | None = None) -> DataFrame:
+def segment_daily(
+    facts: DataFrame, dimensions: Sequence[str] = DEFAULT_DIMENSIONS, series_col: str | None = None
+) -> DataFrame:
     """Daily revenue and distinct orders of each segment, of the delivered rows of a mart.
 
     All dimensions in one pass, the distinct orders counted in two steps.
@@ -136,6 +180,6 @@ def segment_daily(facts: DataFrame, dimensions: Sequence[str] = DEFAULT_DIMENSIO
 
 def segment_daily_from_rollup(rollup: DataFrame) -> DataFrame:
     """The same from ``daily_rollup``."""
-    return rollup.where((F.col("dimension") != TOTAL) & (F.col("orders") > 0)).select(
+    return rollup.where(F.col("dimension") != TOTAL).select(
         "series_id", "ds", "dimension", "segment", "revenue", "orders"
     )
