@@ -101,7 +101,7 @@ def _features(spark: SparkSession, sf: str, cfg: EngineConfig = FIXTURE) -> Data
 def _steps(spark: SparkSession, sf: str) -> tuple[Steps, DataFrame, DataFrame]:
     """Series and segments from one pass over the raw tables, by way of a table."""
     step = Steps(shared_folder(spark))
-    rollup = step(daily_rollup(raw_tables(spark, sf), FIXTURE.dimensions), "rollup")
+    rollup = step(daily_rollup(raw_tables(spark, sf), FIXTURE.dimensions), "rollup", ("dimension",))
     return step, _in_cents(kpi_daily_from_rollup(rollup)), _segments_of(rollup)
 
 

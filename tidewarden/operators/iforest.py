@@ -23,6 +23,8 @@ from ..functions.columns import number
 from .baseline import fill_gaps
 
 SAMPLE = 256
+BATCH = 1_000_000
+"""Days times trees that a task has in memory at once."""
 UNIT = 1 << 20
 """Path lengths are summed in whole units of 1/UNIT, so that sums do not depend on
 the order of addition."""
@@ -110,7 +112,9 @@ def _block_scorer(kpis: Sequence[str], cfg: EngineConfig) -> Callable[[pd.DataFr
         out = pdf[["series_id", "ds"]].assign(path=0, rows=len(pdf))
         if not mine or np.isnan(x).any():
             return out.iloc[:0]
-        return out.assign(path=path_lengths(x, mine))
+        some = max(1, BATCH // len(x))
+        parts = (path_lengths(x, mine[i : i + some]) for i in range(0, len(mine), some))
+        return out.assign(path=sum(parts))
 
     return score
 

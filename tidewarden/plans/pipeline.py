@@ -7,6 +7,7 @@ executors then cost a retry of a step, not of the run, and no step is computed t
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,7 +87,8 @@ def run_pipeline(
     out = output_dir.rstrip("/")
 
     step = Steps(f"{out}/_steps")
-    rollup = step(daily_rollup(raw, cfg.dimensions, series_col, fanout), "rollup")
+    # By dimension, so that reading the totals skips the segments.
+    rollup = step(daily_rollup(raw, cfg.dimensions, series_col, fanout), "rollup", ("dimension",))
     series = step(apply_scenarios(kpi_daily_from_rollup(rollup), cfg), "series")
 
     report = step(quality_report(series), "quality")
@@ -95,11 +97,17 @@ def run_pipeline(
 
     status = quality_status(report)
     passed = status.where(F.col("validation_status") != "FAIL")
-    any_series, any_passed = (not status.isEmpty()), (not passed.isEmpty())
-    if any_series and not any_passed:
+    n = status.agg(
+        F.count(F.lit(1)).alias("series"), F.count_if(F.col("validation_status") != "FAIL").alias("passed")
+    ).first()
+    if n["series"] and not n["passed"]:
         return PipelineResult(STOPPED, kpi_path, report_path, None)
 
-    found = step(features(series.join(passed.select("series_id"), "series_id", "left_semi"), cfg), "features")
+    # The trees of a series are spread over tasks only as far as there are tasks to fill.
+    fill = math.ceil(spark.sparkContext.defaultParallelism / max(1, n["passed"]))
+    cfg = cfg.with_(forest_blocks=max(1, min(cfg.forest_blocks, fill)))
+    checked = series.join(passed.select("series_id"), "series_id", "left_semi")
+    found = step(features(checked, cfg), "features")
     segments = segment_daily_from_rollup(rollup)
     alerts = build_alerts(found, explained_days(found, segments, cfg), passed)
     alerts_path = write_table(_edge(alerts, series_col), f"{out}/alerts", fmt)

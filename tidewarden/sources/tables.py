@@ -132,6 +132,6 @@ class Steps:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        path = write_table(df, self.path(name))
+    def __call__(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = write_table(df, self.path(name), partition_by=partition_by)
         return df.sparkSession.read.schema(df.schema).parquet(path)
