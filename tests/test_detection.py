@@ -139,6 +139,42 @@ def test_path_lengths_isolate_outliers():
     assert (parts == total).all()
 
 
+def one_tree(x, seed):
+    """Path lengths over one tree, node by node, from the same draws."""
+    rng = np.random.default_rng(seed)
+    size = min(256, len(x))
+    height = max(1, math.ceil(math.log2(max(size, 2))))
+    sample = x[rng.choice(len(x), size, replace=False)]
+    draws = rng.random(((1 << (height + 1)) - 1, 2))
+
+    def walk(rows, points, node, depth, out, index):
+        varying = [f for f in range(x.shape[1]) if rows[:, f].max() > rows[:, f].min()]
+        if depth == height or len(rows) < 2 or not varying:
+            out[index] = depth + float(mean_path(np.array([len(rows)]))[0])
+            return
+        f = varying[int(draws[node, 0] * len(varying))]
+        lo, hi = rows[:, f].min(), rows[:, f].max()
+        cut = lo + draws[node, 1] * (hi - lo)
+        cut = lo if cut >= hi else cut
+        left, here = rows[:, f] <= cut, points[:, f] <= cut
+        walk(rows[left], points[here], 2 * node + 1, depth + 1, out, index[here])
+        walk(rows[~left], points[~here], 2 * node + 2, depth + 1, out, index[~here])
+
+    out = np.zeros(len(x))
+    walk(sample, x, 0, 0, out, np.arange(len(x)))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40, 256, 700])
+def test_path_lengths_against_single_trees(n):
+    rng = np.random.default_rng(n)
+    x = np.round(rng.normal(size=(n, 4)), 1)
+    x[:, 2] = 1.0
+    seeds = [[4, 2, t] for t in range(12)]
+    want = sum(one_tree(x, s) for s in seeds)
+    assert path_lengths(x, seeds) / (1 << 20) == pytest.approx(want, abs=1e-4)
+
+
 def forest_input(spark, n=400):
     rng = np.random.default_rng(3)
     v = rng.normal(100, 5, (n, 4))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DIMENSIONS
+from ..functions.columns import lookup
 from .facts import RawTables, check_fanout, order_headers, order_payments, priced_items
 
 SERIES = "all"
@@ -54,16 +55,25 @@ def _first(columns: Sequence[str], order: Sequence[str]) -> Column:
 
 def _parts(rows: DataFrame, dims: Sequence[str], measure: Column, name: str, flag: str) -> DataFrame:
     """A child table of the orders reduced to one row per order and combination of
-    ``dims``, marking one row of each order (``flag``) and one of each of its segments
-    (``flag_<dimension>``)."""
+    ``dims``. Each carries the measure of the whole order (``name``) and of each of its
+    segments (``name_<dimension>``), and marks the one row of the order (``flag``) and of
+    the segment (``flag_<dimension>``) to take it from."""
     parts = rows.groupBy("order_id", *dims).agg(measure.alias(name))
     if not dims:
         return parts.withColumn(flag, F.lit(True))
-    marks = [_first([], dims).alias(flag)]
+    if len(dims) > 1:
+        # Moved by order alone, once, which serves the windows by segment as well.
+        parts = parts.repartition("order_id")
+    every = (Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.partitionBy("order_id").orderBy(*dims).rowsBetween(*every)
+    out = [F.sum(name).over(order).alias(name), _first([], dims).alias(flag)]
     for d in dims:
-        one = F.lit(True) if len(dims) == 1 else _first([d], [d])
-        marks.append(one.alias(f"{flag}_{d}"))
-    return parts.select("*", *marks)
+        if len(dims) == 1:
+            out += [F.col(name).alias(f"{name}_{d}"), F.lit(True).alias(f"{flag}_{d}")]
+        else:
+            segment = Window.partitionBy("order_id", d).orderBy(d).rowsBetween(*every)
+            out += [F.sum(name).over(segment).alias(f"{name}_{d}"), _first([d], [d]).alias(f"{flag}_{d}")]
+    return parts.select("order_id", *dims, *out)
 
 
 def daily_rollup(
@@ -116,42 +126,59 @@ def daily_rollup(
     payments = _parts(order_payments(raw, fanout), payment_dims, F.count(F.lit(1)), "times", "p")
     joined = headers.join(items, "order_id").join(payments, "order_id", "left")
 
-    def mark(*names: str) -> Column:
-        """All marks hold; the marks of the payment an order does not have do."""
-        out = F.lit(True)
-        for n in names:
-            out = out & F.coalesce(F.col(n), F.lit(True))
-        return out
-
+    def holds(name: str) -> Column:
+        """A mark; those of a payment the order does not have hold."""
+        return F.coalesce(F.col(name), F.lit(True))
+
+    # Per dimension: its segment, the rows to take it from, the measure there, and
+    # whether the order counts, which it does once although it may be listed repeatedly.
+    times, once = F.coalesce("times", F.lit(1)), holds("i") & holds("p")
+    whole = F.col("amount") * times
+    entries = [(TOTAL, F.lit(None), once, whole, F.col("h"), F.col("h_day"))]
+    never = F.lit(False)
+    for d in header_dims:
+        entries.append((d, F.col(f"seg_{d}"), once, whole, F.col(f"h_{d}"), never))
+    for d in item_dims:
+        entries.append((d, F.col(d), holds(f"i_{d}") & holds("p"), F.col(f"amount_{d}") * times, F.col("h"), never))
+    for d in payment_dims:
+        part = F.col("amount") * F.coalesce(f"times_{d}", F.lit(1))
+        entries.append((d, F.col(d), holds("i") & holds(f"p_{d}"), part, F.col("h"), never))
+
+    # The columns of each entry are named by its position; so is its dimension until
+    # the rows are grouped, as the name would be copied with every one of them.
+    columns = [
+        column.alias(f"{kind}{i}")
+        for i, (_, segment, used, measure, counted, in_total) in enumerate(entries)
+        for kind, column in zip(
+            ("segment", "used", "amount", "counted", "total"),
+            (segment.cast("string"), used, measure, counted, in_total),
+        )
+    ]
+    key = ["series_id", "ds"] if series_col else ["ds"]
     delivered = F.col("order_status") == "delivered"
-    counted = {d: mark(f"h_{d}", "i", "p") for d in header_dims}
-    counted |= {d: mark("h", f"i_{d}", "p") for d in item_dims}
-    counted |= {d: mark("h", "i", f"p_{d}") for d in payment_dims}
-    rows = joined.select(
-        "series_id",
-        "ds",
-        delivered.alias("delivered"),
-        (F.col("amount") * F.coalesce("times", F.lit(1))).alias("amount"),
-        F.lit(None).cast("string").alias(TOTAL),
-        mark("h", "i", "p").alias(f"n_{TOTAL}"),
-        mark("h_day", "i", "p").alias(f"all_{TOTAL}"),
-        *[F.col(f"seg_{d}" if d in header_dims else d).cast("string").alias(d) for d in counted],
-        *[c.alias(f"n_{d}") for d, c in counted.items()],
-        F.lit(False).alias("none"),
-    )
-    sets = [f"(`{TOTAL}`, `n_{TOTAL}`, `all_{TOTAL}`) AS `{TOTAL}`"]
-    sets += [f"(`{d}`, `n_{d}`, `none`) AS `{d}`" for d in counted]
-    entries = rows.sparkSession.sql(
+    sets = ", ".join(f"(segment{i}, used{i}, amount{i}, counted{i}, total{i}) AS `{i}`" for i in range(len(entries)))
+    rows = joined.sparkSession.sql(
         "SELECT * FROM {rows} UNPIVOT INCLUDE NULLS "
-        f"((segment, counted, in_total) FOR dimension IN ({', '.join(sets)}))",
-        rows=rows,
-    ).where((F.col("dimension") == TOTAL) | F.col("delivered"))
-    return entries.groupBy("series_id", "ds", "dimension", "segment").agg(
+        f"((segment, used, amount, counted, in_total) FOR entry IN ({sets}))",
+        rows=joined.select(*key, delivered.alias("delivered"), *columns),
+    ).where(F.col("used") & ((F.col("entry") == "0") | F.col("delivered")))
+    grouped = rows.groupBy(*key, "entry", "segment").agg(
         F.sum(F.when(F.col("delivered"), F.col("amount")).otherwise(0.0)).alias("revenue"),
         F.count_if(F.col("delivered") & F.col("counted")).alias("orders"),
         F.count_if(~F.col("delivered") & F.col("counted")).alias("failed"),
         F.count_if("in_total").alias("total"),
     )
+    names = {str(i): e[0] for i, e in enumerate(entries)}
+    return grouped.select(
+        F.col("series_id") if series_col else series_column(None),
+        "ds",
+        lookup(F.col("entry"), names, None).alias("dimension"),
+        "segment",
+        "revenue",
+        "orders",
+        "failed",
+        "total",
+    )
 
 
 def segment_daily(
