@@ -26,3 +26,10 @@ def select_as(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that no other column
     of the input can clash with those the operator adds."""
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
+
+
+def with_outputs(rows: DataFrame, columns: list[str], **outputs: Column) -> DataFrame:
+    """The fields ``columns`` of a struct column ``row`` and the operator's outputs. An
+    output replaces an input column of its name and stands in its place."""
+    kept = [outputs[c].alias(c) if c in outputs else F.col("row").getField(c).alias(c) for c in columns]
+    return rows.select(*kept, *[v.alias(k) for k, v in outputs.items() if k not in columns])

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .linededup import dedup_lines
 from .simhash import near_duplicates
+from .sql import oracle_sql as _oracle_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +22,14 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = dedup_lines(_table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _oracle_sql()
