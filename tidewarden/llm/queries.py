@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprint import fingerprint_edits
 from .linededup import dedup_lines
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
@@ -22,6 +23,10 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, sf, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = dedup_lines(_table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
