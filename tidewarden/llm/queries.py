@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fingerprint import fingerprint_edits
 from .linededup import dedup_lines
+from .packing import pack_documents
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
 
@@ -23,6 +25,10 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint_edits(_table(spark, sf, "documents"))
 
