@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bytebpe import token_digests
 from .fingerprint import fingerprint_edits
 from .linededup import dedup_lines
 from .packing import pack_documents
@@ -25,6 +26,11 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_digests(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
