@@ -25,7 +25,7 @@ LONG = 1 << 16
 RUN = 256
 """White space beyond which a run is split off."""
 # The characters that the pattern's \s stands for.
-_WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CUT = re.compile(rf"(?<=[^{_WHITE}])(?=[{_WHITE}])")
 _LONG_RUN = re.compile(rf"[{_WHITE}]{{{RUN},}}")
 

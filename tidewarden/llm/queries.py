@@ -12,6 +12,7 @@ from .bytebpe import token_digests
 from .fingerprint import fingerprint_edits
 from .linededup import dedup_lines
 from .packing import pack_documents
+from .permindex import nearest
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
 
@@ -26,6 +27,11 @@ def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
 
+def op4_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_digests(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
