@@ -13,6 +13,7 @@ from .fingerprint import fingerprint_edits
 from .linededup import dedup_lines
 from .packing import pack_documents
 from .permindex import nearest
+from .pii import pseudonymise
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
 
@@ -32,6 +33,15 @@ def op4_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+KEY = b"test tables only"
+"""Where data are real, the key comes from whoever keeps it."""
+
+
+def op5_pii_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    found = pseudonymise(_table(spark, sf, "documents"), KEY)
+    return found.select("doc_id", "text", "n_pii", "pii_spans")
+
+
 def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_digests(_table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
