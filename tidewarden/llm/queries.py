@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bytebpe import token_digests
 from .fingerprint import fingerprint_edits
+from .licensescan import scan_licenses
 from .linededup import dedup_lines
 from .packing import pack_documents
 from .permindex import nearest
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf, "documents"))
+
+
 def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
