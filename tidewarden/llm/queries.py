@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytebpe import token_digests
+from .counttree import apply_edits, count_trees
 from .fingerprint import fingerprint_edits
+from .langid import accepted, fit, identify, page_rows
 from .licensescan import scan_licenses
 from .linededup import dedup_lines
 from .packing import pack_documents
@@ -29,6 +31,19 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan_licenses(_table(spark, sf, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents (declared language, source) and web pages (markup, address, host)."""
+    docs, pages = _table(spark, sf, "documents"), _table(spark, sf, "pages")
+    none = F.lit(None).cast("string")
+    evidence = ("text", "declared", "suffix", "host")
+    rows = docs.select(
+        "doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", F.col("lang").alias("declared"),
+        none.alias("suffix"), F.col("source").alias("host"),
+    ).unionByName(page_rows(pages).select(F.lit(None).cast("bigint").alias("doc_id"), "page_id", *evidence))
+    found = identify(rows, fit(docs, "text", "lang"))
+    return found.withColumn("kept", accepted(found))
+
+
 def op3_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
@@ -56,6 +71,26 @@ def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_edit_aware_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts before and after three edits of every document: 20 characters upper-cased
+    a third into it, its beginning put in two thirds into it, and its end cut off."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    n = F.length("text")
+    third, end = F.floor(n / 3), F.greatest(F.lit(0), n - 30)
+    edit = lambda start, stop, new: F.struct(start.alias("start"), stop.alias("stop"), new.alias("text"))
+    edits = F.array(
+        edit(third, third + 20, F.upper(F.substring("text", third.cast("int") + 1, F.lit(20)))),
+        edit(2 * third, 2 * third, F.concat(F.lit(" "), F.left("text", F.lit(10)))),
+        edit(end, n + 100, F.lit("")),
+    )
+    state = count_trees(_table(spark, sf, "documents"), path, pattern).withColumn("edits", edits)
+    edited = apply_edits(state, path, pattern)
+    return edited.select(
+        F.col("id").alias("doc_id"), "n_before", "n_tokens", "recoded", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("text", 256).alias("edited_sha256"),
+    )
+
+
 def op9_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint_edits(_table(spark, sf, "documents"))
 
