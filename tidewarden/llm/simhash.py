@@ -123,6 +123,20 @@ def links(prints: DataFrame, step: Steps, crowded: int = CROWDED) -> DataFrame:
     )
 
 
+def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def _named(prints: DataFrame, step: Steps, crowded: int) -> DataFrame:
+    """``(fp, root, component_id)`` for every fingerprint of ``prints`` ``(id, fp, ...)``."""
+    nodes = step(prints.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
+    roots = components(links(nodes.select("fp"), step, crowded), step)
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    placed = step(placed.select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    return step(placed.join(least, "root").select("fp", "root", "component_id"), "named")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED
 ) -> DataFrame:
@@ -135,14 +149,29 @@ def near_duplicates(
     the input are not read.
     """
     step = new_steps(docs.sparkSession, "simhash")
-    read = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    prints = step(read.select("id", _simhash("text").alias("fp")), "prints")
-    nodes = step(prints.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
-    roots = components(links(nodes.select("fp"), step, crowded), step)
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    placed = step(placed.select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = step(placed.join(least, "root").select("fp", "component_id"), "named")
+    prints = step(_read(docs, id_col, text_col).select("id", _simhash("text").alias("fp")), "prints")
+    named = _named(prints, step, crowded).drop("root")
     return prints.join(named, "fp").select(
         F.col("id").alias(id_col), as_hex(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED
+) -> DataFrame:
+    """One row of ``docs`` for each component, as it is: that of the smallest id (a null
+    one only where there is no other), of those the smallest hash of the whole row, and
+    one of repeated rows. All columns are passed through. Texts are shuffled only where
+    the rows to drop are too many to broadcast, or where rows repeat."""
+    step = new_steps(docs.sparkSession, "simhash")
+    marked = docs.select("*", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    read = marked.select(F.col(f"`{id_col}`").alias("id"), "__row", F.col(f"`{text_col}`").cast("string").alias("text"))
+    prints = step(read.select("id", "__row", _simhash("text").alias("fp")), "prints")
+    rows = prints.join(_named(prints, step, crowded), "fp")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "__row")
+    firsts = rows.groupBy("root").agg(F.min(order)["__row"].alias("stays"))
+    gone = step(rows.join(firsts, "root").where("__row <> stays").select("__row").distinct(), "gone")
+    kept = marked.join(gone, "__row", "left_anti")
+    if not prints.groupBy("__row").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__row"])
+    return kept.drop("__row")
