@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import new_steps
+
 PIVOTS = 128
 SAMPLE = 4096
 """Vectors that pivots are drawn from: those of the smallest hash of their id."""
@@ -121,6 +123,26 @@ def _searcher(pivots: np.ndarray, k: int, rerank_share: float):
     return search
 
 
+def _blocks(df: DataFrame) -> dict[int, int]:
+    """Blocks by pivot; one row per pivot comes to the driver."""
+    return {r["pivot"]: max(1, math.ceil(r["count"] / BLOCK)) for r in df.groupBy("pivot").count().collect()}
+
+
+def _count(sizes: dict[int, int]) -> Column:
+    if not sizes:
+        return F.lit(1)
+    lookup = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    return F.coalesce(F.try_element_at(lookup, F.col("pivot")), F.lit(1))
+
+
+def _own(sizes: dict[int, int]) -> Column:
+    return F.pmod(F.xxhash64("id"), _count(sizes)).cast("int")
+
+
+def _every(sizes: dict[int, int]) -> Column:
+    return F.explode(F.sequence(F.lit(0), _count(sizes) - 1))
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -134,13 +156,17 @@ def nearest(
     rerank_share: float = RERANK_SHARE,
 ) -> DataFrame:
     """``query_id, rank, id_col, score``: the ``k`` of ``vectors`` found nearest to each
-    row of ``queries`` by inner product, best first, ties to the smaller id.
+    row of ``queries`` by inner product, best first, ties to the smaller id. A query for
+    which its files hold fewer than ``k`` is compared with all vectors, so that only a
+    query with fewer candidates has fewer rows.
 
     A row of the query's own id is no candidate. Vectors that are null, zero, hold null
     or non-finite components, have another length than the pivots or a null id take no
     part on either side. Rows that share an id are one candidate, at their best score,
     and one query. Other columns are not read; an empty input gives an empty table.
     """
+    spark = vectors.sparkSession
+    step = new_steps(spark, "permindex")
     read = lambda df: df.select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector")
     ).where(F.col("id").isNotNull() & usable(F.col("vector")))
@@ -148,30 +174,31 @@ def nearest(
     at = draw_pivots(base, pivots, sample)
     n, width = at.shape
     base, asked = (df.where(F.size("vector") == width) for df in (base, asked))
+    if not n:
+        return spark.createDataFrame([], f"query_id bigint, rank int, {id_col} bigint, score double")
     schema = "id bigint, vector array<double>, pivot int"
-    probes = max(1, math.ceil(probe_share * n))
-    posted = base.mapInPandas(_poster(at, min(posts, n)), schema) if n else base.select("*", F.lit(0).alias("pivot"))
-    probing = asked.mapInPandas(_poster(at, probes), schema) if n else asked.select("*", F.lit(0).alias("pivot"))
-
-    def blocks(df: DataFrame) -> dict[int, int]:
-        """Blocks by pivot; one row per pivot comes to the driver."""
-        return {r["pivot"]: max(1, math.ceil(r["count"] / BLOCK)) for r in df.groupBy("pivot").count().collect()}
-
-    files, chunks = blocks(posted), blocks(probing)
-    count = lambda sizes: F.coalesce(
-        F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("pivot")] if sizes else F.lit(1), F.lit(1)
-    )
-    every = lambda sizes: F.explode(F.sequence(F.lit(0), count(sizes) - 1))
-    own = lambda sizes: F.pmod(F.xxhash64("id"), count(sizes)).cast("int")
-    key = ["pivot", "file", "chunk"]
-    left = posted.withColumn("file", own(files)).withColumn("chunk", every(chunks))
-    right = probing.withColumn("chunk", own(chunks)).withColumn("file", every(files))
-    found = (
-        left.groupBy(*key)
-        .cogroup(right.groupBy(*key))
-        .applyInPandas(_searcher(at, k, rerank_share), "query_id bigint, id bigint, score double")
-    )
-    once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    posted = base.mapInPandas(_poster(at, min(posts, n)), schema)
+    files = _blocks(posted)
+
+    def search(some: DataFrame, probes: int, share: float) -> DataFrame:
+        probing = some.mapInPandas(_poster(at, probes), schema)
+        chunks = _blocks(probing)
+        left = posted.withColumn("file", _own(files)).withColumn("chunk", _every(chunks))
+        right = probing.withColumn("chunk", _own(chunks)).withColumn("file", _every(files))
+        key = ["pivot", "file", "chunk"]
+        found = (
+            left.groupBy(*key)
+            .cogroup(right.groupBy(*key))
+            .applyInPandas(_searcher(at, k, share), "query_id bigint, id bigint, score double")
+        )
+        once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    ranked = step(search(asked, max(1, math.ceil(probe_share * n)), rerank_share), "ranked")
+    enough = ranked.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = step(asked.join(enough, "id", "left_anti"), "short")
+    if not short.isEmpty():
+        rest = ranked.join(enough.withColumnRenamed("id", "query_id"), "query_id", "left_semi")
+        ranked = rest.unionByName(search(short, n, 1.0))
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
