@@ -93,7 +93,7 @@ def _near(a: str, b: str) -> Column:
 def _stars(keyed: DataFrame, keys: list[str]) -> DataFrame:
     """Each fingerprint of a key linked to the key's smallest."""
     first = keyed.groupBy(*keys).agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where("a < most")
-    return keyed.join(first.drop("most"), keys).where("fp <> a").select("a", F.col("fp").alias("b"))
+    return keyed.hint("merge").join(first.drop("most"), keys).where("fp <> a").select("a", F.col("fp").alias("b"))
 
 
 def links(prints: DataFrame, step: Steps, crowded: int = CROWDED) -> DataFrame:
@@ -103,7 +103,8 @@ def links(prints: DataFrame, step: Steps, crowded: int = CROWDED) -> DataFrame:
     sizes = halves.groupBy("half", "mine").agg(F.count(F.lit(1)).alias("n"))
     busy = step(sizes.where(F.col("n") > crowded).select("half", "mine"), "busy")
     usual = halves.join(busy, ["half", "mine"], "left_anti")
-    posted = _variants(usual).select("key", "fp")
+    # Estimates do not see what an explode makes of a small table: never broadcast it.
+    posted = _variants(usual).select("key", "fp").hint("merge")
     met = posted.withColumnRenamed("fp", "a").join(posted.withColumnRenamed("fp", "b"), "key")
     found = met.where((F.col("a") < F.col("b")) & _near("a", "b")).select("a", "b")
     if busy.isEmpty():
