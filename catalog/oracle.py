@@ -134,8 +134,8 @@ roll AS (
 FLAGS = """
 detectors AS (
   SELECT *, (v - baseline) / nullif(baseline, 0) AS dev,
-         coalesce(abs((v - baseline) / nullif(baseline, 0)) > 0.2, false) AS anomaly_rule,
-         coalesce(abs(z) > 2.0, false) AS anomaly_z,
+         coalesce(round(abs((v - baseline) / nullif(baseline, 0)), 12) > 0.2, false) AS anomaly_rule,
+         coalesce(round(abs(z), 12) > 2.0, false) AS anomaly_z,
          coalesce(v < iqr_lo OR v > iqr_hi, false) AS anomaly_iqr, false AS anomaly_iforest
   FROM roll),
 flags AS (
@@ -143,9 +143,9 @@ flags AS (
   FROM detectors),
 risk AS (
   SELECT *, CASE WHEN NOT anomaly_flag THEN 'NONE'
-                 WHEN kpi = 'revenue' AND dev <= -0.3 THEN 'HIGH'
-                 WHEN abs(z) >= 2.3 THEN 'HIGH' WHEN abs(z) >= 2.0 THEN 'MEDIUM'
-                 WHEN abs(z) >= 1.5 THEN 'LOW' ELSE 'NONE' END AS risk_level
+                 WHEN kpi = 'revenue' AND round(dev, 12) <= -0.3 THEN 'HIGH'
+                 WHEN round(abs(z), 12) >= 2.3 THEN 'HIGH' WHEN round(abs(z), 12) >= 2.0 THEN 'MEDIUM'
+                 WHEN round(abs(z), 12) >= 1.5 THEN 'LOW' ELSE 'NONE' END AS risk_level
   FROM flags)"""
 
 SEGMENTS = "\nsegments AS (" + " UNION ALL ".join(
@@ -165,8 +165,14 @@ ranked_kpis AS (
   FROM risk),
 days AS (SELECT ds, kpi AS primary_kpi FROM ranked_kpis WHERE flagged AND n = 1)"""
 
-# Values are compared in millionths; so is the order of changes, where rounding is asked for.
-CHANGES_EXACT = """
+def changes(places: int | None = None) -> str:
+    """Segment changes and drivers. Values are compared in millionths; so is the order of
+    changes, where rounding is asked for."""
+
+    def of(x: str) -> str:
+        return x if places is None else f"round({x}, {places})"
+
+    return f"""
 before AS (
   SELECT d.ds AS anomaly_ds, s.dimension, s.segment,
          avg(CASE WHEN d.primary_kpi = 'revenue' THEN s.revenue ELSE s.orders END) AS base_metric
@@ -182,8 +188,9 @@ changes AS (
          today_metric IS NOT NULL AS has_today
   FROM today FULL OUTER JOIN before USING (anomaly_ds, dimension, segment)),
 cut AS (
-  SELECT *, row_number() OVER (PARTITION BY anomaly_ds, dimension
-           ORDER BY abs(delta) DESC, segment NULLS LAST, has_today DESC) AS rank
+  SELECT anomaly_ds, dimension, segment, {of('today')} AS today, {of('baseline')} AS baseline,
+         {of('delta')} AS delta, has_today, row_number() OVER (PARTITION BY anomaly_ds, dimension
+           ORDER BY abs({of('delta')}) DESC, segment NULLS LAST, has_today DESC) AS rank
   FROM changes),
 shares AS (
   SELECT *, sum(delta) OVER (PARTITION BY anomaly_ds, dimension ORDER BY rank
@@ -194,12 +201,6 @@ drivers AS (
          delta / CASE WHEN total = 0 THEN 1e-9::DOUBLE ELSE total END AS pct_contrib
   FROM shares WHERE rank <= 5)"""
 
-CHANGES = CHANGES_EXACT.replace(
-    "SELECT *, row_number() OVER (PARTITION BY anomaly_ds",
-    "SELECT anomaly_ds, dimension, segment, round(today, 6) AS today, round(baseline, 6) AS baseline,\n"
-    "         round(delta, 6) AS delta, has_today, row_number() OVER (PARTITION BY anomaly_ds",
-).replace("ORDER BY abs(delta) DESC", "ORDER BY abs(round(delta, 6)) DESC")
-
 
 def report(source: str) -> str:
     """Issues of each series. A duplicate date counts once per repetition."""
@@ -236,6 +237,15 @@ status AS (
   FROM report GROUP BY 1)"""
 
 
+DAMAGED = """
+damaged AS (
+  SELECT 'worst' AS series_id, CASE day(ds) WHEN 1 THEN NULL WHEN 2 THEN ds + 1 ELSE ds END AS ds,
+         CASE WHEN day(ds) = 3 THEN -revenue ELSE revenue END AS revenue,
+         CASE WHEN day(ds) = 4 THEN -orders ELSE orders END AS orders,
+         CASE WHEN day(ds) < 20 THEN NULL ELSE aov END AS aov, payment_fail_rate FROM series
+  UNION ALL SELECT 'gaps', ds, revenue, orders, aov, payment_fail_rate FROM series WHERE day(ds) < 20
+  UNION ALL SELECT '', ds, revenue, orders, aov, payment_fail_rate FROM series)"""
+
 ALERTS = """
 alerts AS (
   SELECT k.ds, k.kpi, round(k.v, 6) AS value, round(k.baseline, 6) AS baseline, round(k.z, 6) AS z_score, k.risk_level, k.anomaly_rule AS rule,
@@ -294,20 +304,21 @@ def oracle_sql() -> dict[str, str]:
     plain = (RAW, kpi())
     rolled = (*plain, long("series"), ROLL)
     risky = (*rolled, FLAGS)
-    caused = (*risky, SEGMENTS, PRIMARY, CHANGES)
-    caused_exact = (*risky, SEGMENTS, PRIMARY, CHANGES_EXACT)
+    caused = (*risky, SEGMENTS, PRIMARY, changes(6))
+    caused_exact = (*risky, SEGMENTS, PRIMARY, changes())
     over = (*plain, OVERLAY, long("overlaid"), ROLL, FLAGS, report("overlaid"), ALERTS)
     by_state = (RAW, kpi("customer_state"))
     flag_columns = "anomaly_rule, anomaly_z, anomaly_iqr, anomaly_iforest, anomaly_flag"
     daily = f"SELECT ds, {r('revenue')} AS revenue, orders, {r('aov')} AS aov, {r('payment_fail_rate')} AS payment_fail_rate FROM series"
     wide = []
-    for k in ("revenue", "orders"):
+    for k in KPIS:
         pick = f"FILTER (kpi = '{k}')"
         for column, name in (
             ("v", k), ("rolling_mean", f"{k}_rm7"), ("rolling_std", f"{k}_rs7"), ("baseline", f"{k}_base30"),
             ("z", f"{k}_z"), ("iqr_lo", f"{k}_iqr_lo"), ("iqr_hi", f"{k}_iqr_hi"),
         ):
-            wide.append(f"{r(f'any_value({column}) {pick}')} AS {name}")
+            value = f"any_value({column}) {pick}"
+            wide.append(f"CAST(CAST(round({value}, 8) AS DECIMAL(30, 8)) AS VARCHAR) AS {name}" if "_iqr_" in name else f"{r(value)} AS {name}")
         for column in (*flag_columns.split(", "), "risk_level"):
             wide.append(f"any_value({column}) {pick} AS {k}_{column}")
     alert_columns = (
@@ -331,6 +342,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "kpi_daily": _sql(daily, *plain),
         "kpi_daily_rollup": _sql(daily, *plain),
+        "kpi_daily_from_mart": _sql(daily, *plain),
         "raw_csv_to_kpi": _sql(daily, *plain),
         "kpi_daily_by_state": _sql(daily.replace("SELECT ds", "SELECT series_id, ds"), *by_state),
         "kpi_long": _sql(f"SELECT ds, kpi, {r('v')} AS value FROM long", *plain, long("series")),
@@ -367,19 +379,51 @@ def oracle_sql() -> dict[str, str]:
             *caused,
         ),
         "root_cause_json": _sql(
-            "SELECT k.ds, k.kpi, d.primary_kpi, m.dimension, coalesce(string_agg(coalesce(v.segment, 'None'), ',' ORDER BY v.rank) "
-            "FILTER (v.rank IS NOT NULL), '') AS segments FROM risk k JOIN days d USING (ds) CROSS JOIN "
+            "SELECT k.ds, k.kpi, d.primary_kpi, m.dimension, v.rank::INTEGER AS rank, v.segment, "
+            + ", ".join(f"{r('v.' + c)} AS {c}" for c in ("today", "baseline", "delta", "pct_contrib"))
+            + " FROM risk k JOIN days d USING (ds) CROSS JOIN "
             f"(VALUES {', '.join(f'({chr(39)}{d}{chr(39)})' for d in DIMS)}) AS m(dimension) "
-            "LEFT JOIN drivers v ON v.anomaly_ds = k.ds AND v.dimension = m.dimension GROUP BY ALL",
+            "LEFT JOIN drivers v ON v.anomaly_ds = k.ds AND v.dimension = m.dimension",
             *caused_exact,
         ),
+        "pipeline_evidence": _sql(
+            "SELECT a.ds, a.kpi, d.primary_kpi, m.dimension, count(v.rank) AS listed, round(max(abs(v.delta)), 6) AS largest "
+            "FROM alerts a JOIN days d USING (ds) CROSS JOIN "
+            f"(VALUES {', '.join(f'({chr(39)}{d}{chr(39)})' for d in DIMS)}) AS m(dimension) "
+            "LEFT JOIN drivers v ON v.anomaly_ds = a.ds AND v.dimension = m.dimension GROUP BY ALL",
+            *over, SEGMENTS, PRIMARY, changes(),
+        ),
+        "pipeline_kpi_daily": _sql(
+            "SELECT ds, round(revenue, 2) AS revenue, round(orders, 2) AS orders, injected_label FROM overlaid", *plain, OVERLAY
+        ),
+        "pipeline_quality": _sql('SELECT "check", severity, detail FROM report', *plain, OVERLAY, report("overlaid")),
+        "pipeline_alerts_unnamed_series": _sql(
+            f"SELECT nullif(series_id, '') AS series_id, ds, kpi, {r('v')} AS value, risk_level, validation_status, true AS explained "
+            "FROM risk JOIN status USING (series_id) WHERE anomaly_flag AND validation_status <> 'FAIL'",
+            RAW, kpi("CASE WHEN customer_state > 'M' THEN '' ELSE 'A to M' END"), OVERLAY, long("overlaid"), ROLL, FLAGS, report("overlaid"),
+        ),
+        "quality_report_damaged": _sql(
+            """SELECT nullif(series_id, '') AS series_id, "check", severity, detail FROM report""", *plain, DAMAGED, report("damaged")
+        ),
+        "quality_status_damaged": _sql(
+            "SELECT nullif(series_id, '') AS series_id, validation_status FROM status", *plain, DAMAGED, report("damaged")
+        ),
+        "summaries_of_partial_evidence": _sql(
+            "SELECT ds, CASE day(ds) % 6 "
+            "WHEN 0 THEN 'Primary KPI: unknown. unknown_dimension: top driver = unknown (delta=' || format('{:,.2f}', round(revenue, 2)) || ', contribution=0.0%)' "
+            "WHEN 1 THEN 'Primary KPI: aov. d: top driver = None (delta=' || format('{:,.2f}', round(revenue, 2)) || ', contribution=N/A)' "
+            "WHEN 2 THEN 'Primary KPI: None. Root cause evidence present but not easily summarized.' "
+            "WHEN 3 THEN 'Primary KPI: aov. Root cause evidence present but not easily summarized.' "
+            "WHEN 4 THEN 'Root cause evidence present but could not be parsed.' "
+            "ELSE 'No root cause evidence available.' END AS summary FROM series",
+            *plain,
+        ),
+        "orchestration_messages": _sql(
+            "SELECT ds, kpi, risk_level, message FROM messages JOIN sent USING (ds, kpi)", *over, SEGMENTS, PRIMARY, changes(6), MESSAGES
+        ),
         "alert_table": _sql(f"SELECT {alert_columns} FROM alerts", *over),
         "alerts_csv_roundtrip": _sql(f"SELECT {alert_columns} FROM alerts", *over),
-        "pipeline_alerts": _sql(
-            f"SELECT ds, kpi, {r('value')} AS value, {r('baseline')} AS baseline, {r('z_score')} AS z_score, risk_level, "
-            "validation_status, injected_label FROM alerts",
-            *over,
-        ),
+        "pipeline_alerts": _sql(f"SELECT {alert_columns} FROM alerts", *over),
         "meaningful_alerts": _sql(
             f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score, detector_count FROM meaningful", *over
         ),
@@ -387,7 +431,7 @@ def oracle_sql() -> dict[str, str]:
         "notifications_ranked": _sql(
             f"SELECT ds, kpi, risk_rank, {r('abs(z_score)')} AS abs_z, detector_count FROM sent", *over
         ),
-        "messages": _sql("SELECT ds, kpi, message FROM messages", *over, SEGMENTS, PRIMARY, CHANGES, MESSAGES),
+        "messages": _sql("SELECT ds, kpi, message FROM messages", *over, SEGMENTS, PRIMARY, changes(6), MESSAGES),
         "detectors_text": _sql(f"SELECT ds, kpi, {TEXT} AS text, rule, z, iqr, iforest FROM alerts", *over),
         "orchestration_counts": _sql(
             "SELECT (SELECT count(*) FROM alerts) AS input_alerts, (SELECT count(*) FROM meaningful) AS meaningful_alerts, "

@@ -7,16 +7,15 @@ before anything is derived from it.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden.config import EngineConfig, ScenarioEvent
 from tidewarden.functions.columns import detectors_from_text, detectors_text
+from tidewarden.functions.message import EVIDENCE_TYPE, root_cause_summary_json
 from tidewarden.operators import alerts as al
 from tidewarden.operators import feeds
 from tidewarden.operators.baseline import add_rolling_stats, fill_gaps
@@ -36,6 +35,7 @@ from tidewarden.operators.rootcause import (
 from tidewarden.operators.scenario import apply_scenarios
 from tidewarden.plans.orchestration import orchestrate_alerts
 from tidewarden.plans.pipeline import features, run_pipeline, wide_features
+from tidewarden.sources.shared import shared_folder
 from tidewarden.sources.tables import RAW_COLUMNS, RAW_FILES, Steps, read_alerts, read_raw, stage_raw, write_table
 
 from .adapter import raw_tables
@@ -58,17 +58,6 @@ WITH_FOREST = FIXTURE.with_(forest_enabled=True)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder; a temporary one only
-    where none is set and Spark runs on this machine alone."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="run-")
-    return os.path.join(base, f"tables-{uuid.uuid4().hex}")
-
-
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(
         *[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
@@ -147,6 +136,11 @@ def q_order_facts_by_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_kpi_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_series(spark, sf)).drop("series_id")
+
+
+def q_kpi_daily_from_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the row-level mart."""
     return rounded(_in_cents(kpi_daily(order_facts(raw_tables(spark, sf))))).drop("series_id")
 
 
@@ -206,8 +200,9 @@ def q_risk_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_wide_features(spark: SparkSession, sf: str) -> DataFrame:
-    wide = wide_features(_features(spark, sf), FIXTURE)
-    return rounded(wide.select("ds", *[c for c in wide.columns if c.startswith(("revenue", "orders"))]))
+    wide = wide_features(_features(spark, sf), FIXTURE).drop("series_id", "injected_label")
+    fences = [c for c in wide.columns if "_iqr_" in c]
+    return rounded(wide.withColumns({c: F.round(c, 8).cast("decimal(30,8)").cast("string") for c in fences}))
 
 
 def q_ffill_bfill(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,6 +236,33 @@ def q_scenario_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(apply_scenarios(_series(spark, sf), FIXTURE)).drop("series_id")
 
 
+def _damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """The series with faults of every kind: a repeated and a missing date, negative
+    values and missing ones, in three series so that each status occurs."""
+    series = _series(spark, sf)
+    at = F.dayofmonth("ds")
+    worst = series.withColumns(
+        {
+            "series_id": F.lit("worst"),
+            "ds": F.when(at == 1, None).when(at == 2, F.date_add("ds", 1)).otherwise(F.col("ds")),
+            "revenue": F.when(at == 3, -F.col("revenue")).otherwise(F.col("revenue")),
+            "orders": F.when(at == 4, -F.col("orders")).otherwise(F.col("orders")),
+            "aov": F.when(at < 20, None).otherwise(F.col("aov")),
+        }
+    )
+    gaps = series.where(at < 20).withColumn("series_id", F.lit("gaps"))
+    unnamed = series.withColumns({"series_id": F.lit(None).cast("string"), "orders": F.abs("orders")})
+    return worst.unionByName(gaps).unionByName(unnamed)
+
+
+def q_quality_report_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_report(_damaged(spark, sf))
+
+
+def q_quality_status_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_status(quality_report(_damaged(spark, sf)))
+
+
 # --- root cause ----------------------------------------------------------------------
 
 
@@ -272,12 +294,21 @@ def q_root_cause_top(spark: SparkSession, sf: str) -> DataFrame:
 def q_root_cause_json(spark: SparkSession, sf: str) -> DataFrame:
     step, series, segments = _steps(spark, sf)
     found = attach_root_cause(step(features(series, FIXTURE), "features"), segments, FIXTURE)
-    document = F.from_json("root_cause_json", "struct<primary_kpi:string,evidence:array<struct<dimension:string,top:array<struct<segment:string>>>>>")
-    return found.where(F.col("root_cause_json").isNotNull()).select(
+    return _drivers_in(found)
+
+
+def _drivers_in(found: DataFrame) -> DataFrame:
+    """The evidence documents of ``root_cause_json``, one row per driver."""
+    document = F.from_json("root_cause_json", EVIDENCE_TYPE)
+    blocks = found.where(F.col("root_cause_json").isNotNull()).select(
         "ds", "kpi", document["primary_kpi"].alias("primary_kpi"), F.inline(document["evidence"])
-    ).select(
-        "ds", "kpi", "primary_kpi", "dimension",
-        F.concat_ws(",", F.transform("top", lambda t: F.coalesce(t["segment"], F.lit("None")))).alias("segments"),
+    )
+    one = blocks.select("ds", "kpi", "primary_kpi", "dimension", F.posexplode_outer("top").alias("rank", "top"))
+    return rounded(
+        one.select(
+            "ds", "kpi", "primary_kpi", "dimension", (F.col("rank") + 1).alias("rank"), "top.segment",
+            "top.today", "top.baseline", "top.delta", "top.pct_contrib",
+        )
     )
 
 
@@ -317,7 +348,7 @@ def q_detectors_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_alerts_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = write_table(_alerts(spark, sf), f"{shared_folder(spark)}/alerts", "csv")
-    return _shown(al.normalise_alerts(read_alerts(spark, path, "csv")))
+    return _shown(al.normalise_alerts(read_alerts(spark, path, "csv")).drop("detector_count"))
 
 
 def q_orchestration_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,13 +365,67 @@ def q_orchestration_counts(spark: SparkSession, sf: str) -> DataFrame:
 def q_pipeline_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job without the forest."""
     r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), FIXTURE)
+    return _shown(al.normalise_alerts(read_alerts(spark, r.alerts_path)).drop("detector_count"))
+
+
+def q_pipeline_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """The evidence that the job writes with its alerts."""
+    r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), FIXTURE)
+    found = read_alerts(spark, r.alerts_path)
+    drivers = _drivers_in(found)
+    return drivers.groupBy("ds", "kpi", "primary_kpi", "dimension").agg(
+        F.count("rank").alias("listed"), F.max(F.abs("delta")).alias("largest")
+    )
+
+
+def q_pipeline_kpi_daily(spark: SparkSession, sf: str) -> DataFrame:
+    r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), FIXTURE)
+    kpis = spark.read.parquet(r.kpi_daily_path)
+    return kpis.select("ds", *[F.round(k, 2).alias(k) for k in ("revenue", "orders")], "injected_label")
+
+
+def q_pipeline_quality(spark: SparkSession, sf: str) -> DataFrame:
+    r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), FIXTURE)
+    return spark.read.parquet(r.data_quality_report_path)
+
+
+def q_pipeline_alerts_unnamed_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The job by state, where one state has no name: that series is searched too."""
+    raw = raw_tables(spark, sf)
+    state = F.col("customer_state")
+    customers = raw.customers.withColumn("customer_state", F.when(state > "M", None).otherwise(F.lit("A to M")))
+    r = run_pipeline(spark, replace(raw, customers=customers), shared_folder(spark), FIXTURE, "customer_state")
     stored = al.normalise_alerts(read_alerts(spark, r.alerts_path))
-    return rounded(stored.select("ds", "kpi", "value", "baseline", "z_score", "risk_level", "validation_status", "injected_label"))
+    explained = F.col("root_cause_json").isNotNull().alias("explained")
+    return rounded(stored.select("series_id", "ds", "kpi", "value", "risk_level", "validation_status", explained))
+
+
+def q_orchestration_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The notifications that the second job writes."""
+    folder = shared_folder(spark)
+    path = write_table(_alerts(spark, sf), f"{folder}/alerts")
+    r = orchestrate_alerts(spark, path, f"{folder}/notifications", FIXTURE.cooldown_days)
+    return spark.read.parquet(r.output_path).select("ds", "kpi", "risk_level", "message")
+
+
+def q_summaries_of_partial_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries of evidence documents that lack parts or hold nulls."""
+    n = F.dayofmonth("ds") % 6
+    number = F.round("revenue", 2).cast("decimal(20,2)").cast("string")
+    text = (
+        F.when(n == 0, F.concat(F.lit('{"evidence": [{"top": [{"delta": '), number, F.lit("}]}]}")))
+        .when(n == 1, F.concat(F.lit('{"primary_kpi": "aov", "evidence": [{"dimension": "d", "top": [{"segment": null, "delta": "'), number, F.lit('", "pct_contrib": null}]}]}')))
+        .when(n == 2, '{"primary_kpi": null, "evidence": [{"dimension": "d", "top": []}]}')
+        .when(n == 3, '{"primary_kpi": "aov"}')
+        .when(n == 4, "[1, 2")
+        .otherwise("")
+    )
+    return _series(spark, sf).select("ds", root_cause_summary_json(text).alias("summary"))
 
 
 def q_pipeline_alerts_with_forest(spark: SparkSession, sf: str) -> DataFrame:
     r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), WITH_FOREST)
-    return _shown(al.normalise_alerts(read_alerts(spark, r.alerts_path)))
+    return _shown(al.normalise_alerts(read_alerts(spark, r.alerts_path)).drop("detector_count"))
 
 
 # --- feeds ---------------------------------------------------------------------------

@@ -199,7 +199,9 @@ def test_series_have_their_own_forests(spark):
     df = forest_input(spark, 60)
     both = df.union(df.withColumn("series_id", F.lit("other")).withColumn("revenue", F.lit(None).cast("double")))
     out = score_forest(both, EngineConfig(forest_trees=20))
-    assert {r.series_id for r in out.collect()} == {"all"}
+    scores = [(r.series_id, r.iforest_score is None, bool(r.iforest_raw)) for r in out.collect()]
+    assert len(scores) == 120
+    assert {s[:2] for s in scores} == {("all", False), ("other", True)} and ("other", True, True) not in scores
     assert features(both, EngineConfig(forest_trees=20)).where("series_id = 'other' AND anomaly_iforest").count() == 0
 
 

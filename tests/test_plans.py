@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalog.adapter import raw_tables
 from catalog.queries import FIXTURE
 from tests.helpers import alerts, d, raw, wide
+from tests.test_detection import forest_input
 from tidewarden import EngineConfig, ScenarioEvent, orchestrate_alerts, run_pipeline
 from tidewarden.operators.alerts import NOTIFICATION_COLUMNS, apply_cooldown, meaningful_alerts
 from tidewarden.operators.baseline import add_rolling_stats
@@ -203,9 +204,46 @@ def test_series_plans(spark, no_broadcast):
     assert rolled.count("Exchange") == 1 and rolled.count("Sort ") == 1
     flags = plan(features(series, FIXTURE))
     assert flags.count("Exchange") == 1 and "Python" not in flags
-    assert plan(quality_report(series)).count("SinglePartition") == 0
+    report = plan(quality_report(series))
+    # The one single partition counts rows, of which each task sends its own number.
+    assert report.count("SinglePartition") == 1 and "partial_count(1)" in report
     forest = plan(score_forest(series, FIXTURE))
     assert "SinglePartition" not in forest and "Broadcast" not in forest
+    assert forest.count("FlatMapGroupsInPandas") == 1 and "REPARTITION_BY_NUM" in forest
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_blocks_of_one_series_run_in_several_tasks_and_once(spark, tmp_path, monkeypatch, stored):
+    """By the tasks that the blocks ran in, on a literal and on a stored series."""
+    from tidewarden.operators import iforest
+
+    plain, seen = iforest._block_scorer, str(tmp_path / "seen")
+
+    def marking(kpis, cfg):
+        score = plain(kpis, cfg)
+
+        def run(pdf):
+            from pathlib import Path
+            from uuid import uuid4
+
+            from pyspark import TaskContext
+
+            Path(seen).mkdir(exist_ok=True)
+            Path(seen, uuid4().hex).write_text(f"{TaskContext.get().partitionId()} {pdf['block'].iloc[0]}")
+            return score(pdf)
+
+        return run
+
+    monkeypatch.setattr(iforest, "_block_scorer", marking)
+    cfg = EngineConfig(forest_trees=16, forest_blocks=8, forest_tasks=32)
+    series = forest_input(spark, 60)
+    if stored:
+        series.write.parquet(str(tmp_path / "series"))
+        series = spark.read.parquet(str(tmp_path / "series"))
+    assert score_forest(series, cfg).count() == 60
+    marks = [p.read_text().split() for p in (tmp_path / "seen").iterdir()]
+    assert sorted(int(b) for _, b in marks) == list(range(8))
+    assert len({t for t, _ in marks}) >= 4
 
 
 def test_root_cause_plan(spark, no_broadcast):

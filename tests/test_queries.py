@@ -1,8 +1,5 @@
-"""Every registered query against its SQL, at the scale the driver compares.
-
-On the smallest tables, where a day has one or two orders, a failure rate can lie exactly
-20 % from its baseline (0.5 against 5/12). Which side of the limit it then falls on is up
-to the last bit of a sum of doubles, and two rows of ``detect_flags`` differ there.
+"""Every registered query against its SQL, at the scale the driver compares, and those
+that compare with thresholds on the smallest tables too, where values lie exactly on them.
 """
 
 from __future__ import annotations
@@ -10,10 +7,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import oracle_sql
+from catalog.queries import queries
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.01"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SMALL = "/root/testdata/sf0.001"
+QUERIES, SQL = queries(), oracle_sql()
 WITHOUT_SQL = {"iforest_scores", "detect_flags_with_forest", "pipeline_alerts_with_forest"}
 
 
@@ -36,6 +36,16 @@ def test_query_equals_its_sql(spark, con, name):
     assert differences(got, con.execute(SQL[name]).df()) is None
 
 
+@pytest.mark.parametrize("name", ["detect_flags", "risk_levels", "messages", "cooldown"])
+def test_values_on_a_threshold(spark, name):
+    got = QUERIES[name](spark, SMALL).toPandas()
+    assert differences(got, connect(SMALL).execute(SQL[name]).df()) is None
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_forest_query_is_repeatable(spark, name):
     first = QUERIES[name](spark, SF).toPandas()

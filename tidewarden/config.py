@@ -46,6 +46,11 @@ class EngineConfig:
     forest_trees: int = 300
     forest_contamination: float = 0.03
     forest_seed: int = 42
+    forest_sample: int = 256
+    """Days that a tree is grown from; all of them if a series has no more."""
+    forest_tasks: int = 0
+    """Tasks over which the blocks of all series are dealt; 0 takes the session's number
+    of shuffle partitions."""
     forest_blocks: int = 8
     """Independent tasks the trees of one series are split over. The trees of a
     series are the same whatever this is; use 1 once there are many series."""
@@ -95,6 +100,7 @@ class EngineConfig:
             "forest_trees": forest.get("n_estimators"),
             "forest_contamination": forest.get("contamination"),
             "forest_seed": forest.get("random_state"),
+            "forest_sample": forest.get("max_samples"),
             "z_low": risk.get("z_low"),
             "z_medium": risk.get("z_medium"),
             "z_high": risk.get("z_high"),

@@ -7,7 +7,10 @@ and every division goes through ``ratio``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Severity order of risk levels, and the mark shown for each.
@@ -26,8 +29,9 @@ def number(col: Column) -> Column:
 
 
 def timestamp(col: Column) -> Column:
-    """A timestamp, with unreadable values as NULL."""
-    return col.try_cast("timestamp")
+    """A timestamp without a zone, so that no session setting shifts its day, with
+    unreadable values as NULL."""
+    return col.try_cast("timestamp_ntz")
 
 
 def day(col: Column) -> Column:
@@ -45,6 +49,20 @@ def deviation(value: Column, baseline: Column) -> Column:
     return ratio(value - baseline, baseline)
 
 
+def decisive(col: Column) -> Column:
+    """Rounded to twelve places before it is compared with a threshold, so that the last
+    bits of a sum, which depend on its order, do not decide."""
+    return F.round(col, 12)
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on equal keys in which NULL equals NULL: a series without a name is one
+    too. The result has the left side's keys."""
+    other = right.select(*[F.col(c).alias(f"__{c}" if c in keys else c) for c in right.columns])
+    same = reduce(Column.__and__, [left[k].eqNullSafe(other[f"__{k}"]) for k in keys])
+    return left.join(other, same, how).drop(*[f"__{k}" for k in keys])
+
+
 def is_true(col: Column) -> Column:
     """A condition with unknown as false."""
     return F.coalesce(col, F.lit(False))
@@ -113,12 +131,29 @@ def detectors_text(detectors: Column) -> Column:
     return F.when(detectors.isNotNull(), text)
 
 
-def detectors_from_text(text: Column) -> Column:
-    """The flags read back from that text; unreadable text gives no fired detector.
+def _flags(text: Column) -> Column:
+    """Every entry of a detector text with its value as text. The text is valid JSON once
+    its quotes and constants are respelled."""
+    spelled = F.replace(text, F.lit("'"), F.lit('"'))
+    for word, json in (("True", "true"), ("False", "false"), ("None", "null")):
+        spelled = F.regexp_replace(spelled, rf"(?<=[:\s]){word}(?=\s*[,}}])", json)
+    return F.from_json(spelled, "map<string,string>")
 
-    The text is valid JSON once its quotes and booleans are respelled.
-    """
-    spelled = F.replace(F.lower(text), F.lit("'"), F.lit('"'))
-    flags = F.from_json(F.replace(spelled, F.lit("none"), F.lit("null")), "map<string,boolean>")
-    fired = detector_struct(**{d: F.try_element_at(flags, F.lit(d)) for d in DETECTORS})
+
+def _fired(value: Column) -> Column:
+    """Truth by value: not null, false, zero or empty."""
+    amount = value.try_cast("double")
+    return is_true((F.lower(value) != "false") & (value != "") & F.coalesce(amount != 0, F.lit(True)))
+
+
+def detectors_from_text(text: Column) -> Column:
+    """The known flags read back from that text; unreadable text gives none that fired."""
+    flags = _flags(text)
+    fired = detector_struct(**{d: _fired(F.try_element_at(flags, F.lit(d))) for d in DETECTORS})
     return F.when(text.isNotNull(), fired)
+
+
+def detector_count_of_text(text: Column) -> Column:
+    """Number of detectors that fired in a detector text, whatever their names."""
+    values = F.map_values(_flags(text))
+    return F.coalesce(F.size(F.filter(values, _fired)), F.lit(0))

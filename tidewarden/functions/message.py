@@ -19,38 +19,55 @@ NO_SUMMARY = "Root cause evidence present but not easily summarized."
 UNREADABLE = "Root cause evidence present but could not be parsed."
 
 
-def _driver(block: Column) -> Column:
-    first = F.get(block["top"], F.lit(0))
+# What stands for a part that a document does not have, and for a null.
+ABSENT = {"primary_kpi": "unknown", "dimension": "unknown_dimension", "segment": "unknown", "delta": "0", "pct_contrib": "0"}
+NULL_TEXT = "None"
+DOCUMENT, BLOCKS = "map<string,string>", "array<map<string,string>>"
+
+
+def _part(of: Column, key: str) -> Column:
+    """A part of a document as text; absent and null are told apart."""
+    return F.when(F.map_contains_key(of, key), F.try_element_at(of, F.lit(key))).otherwise(ABSENT[key])
+
+
+def _named(of: Column, key: str) -> Column:
+    return F.coalesce(_part(of, key), F.lit(NULL_TEXT))
+
+
+def _driver(block: Column, top: Column) -> Column:
+    first = F.get(top, F.lit(0))
+    amount = lambda key: _part(first, key).try_cast("double")
     return F.concat(
-        block["dimension"],
+        _named(block, "dimension"),
         F.lit(": top driver = "),
-        F.coalesce(first["segment"], F.lit("None")),
+        _named(first, "segment"),
         F.lit(" (delta="),
-        fixed(first["delta"], 2),
+        fixed(amount("delta"), 2),
         F.lit(", contribution="),
-        percent(first["pct_contrib"], 1),
+        percent(amount("pct_contrib"), 1),
         F.lit(")"),
     )
 
 
-def root_cause_summary(evidence: Column) -> Column:
-    """One line from an evidence struct: the top driver of its first two dimensions."""
-    shown = F.filter(F.slice(evidence["evidence"], 1, 2), lambda b: is_true(F.size(b["top"]) > 0))
-    drivers = F.concat_ws(" | ", F.transform(shown, _driver))
-    head = F.concat(F.lit("Primary KPI: "), F.coalesce(evidence["primary_kpi"], F.lit("unknown")), F.lit(". "))
-    text = F.concat(head, F.when(F.size(shown) > 0, drivers).otherwise(NO_SUMMARY))
-    return F.when(evidence.isNull(), NO_EVIDENCE).otherwise(text)
+def _top(block: Column) -> Column:
+    return F.from_json(F.try_element_at(block, F.lit("top")), BLOCKS)
 
 
 def root_cause_summary_json(text: Column) -> Column:
-    """The same line from the evidence document as JSON text."""
-    evidence = F.from_json(text, EVIDENCE_TYPE)
-    blank = text.isNull() | (text == "")
-    unreadable = F.try_parse_json(text).isNull() | evidence.isNull()
+    """One line from an evidence document as JSON text: the top driver of its first two
+    dimensions. Parts the document lacks have names of their own."""
+    document = F.from_json(text, DOCUMENT)
+    listed = F.map_contains_key(document, "evidence")
+    blocks = F.from_json(F.try_element_at(document, F.lit("evidence")), BLOCKS)
+    shown = F.filter(F.slice(blocks, 1, 2), lambda b: is_true(F.size(_top(b)) > 0))
+    drivers = F.concat_ws(" | ", F.transform(shown, lambda b: _driver(b, _top(b))))
+    head = F.concat(F.lit("Primary KPI: "), _named(document, "primary_kpi"), F.lit(". "))
+    # Broken JSON is NULL here, and so is what is no object or no list of them.
+    unreadable = F.try_parse_json(text).isNull() | document.isNull() | (listed & blocks.isNull())
     return (
-        F.when(blank, NO_EVIDENCE)
+        F.when(text.isNull() | (text == ""), NO_EVIDENCE)
         .when(unreadable, UNREADABLE)
-        .otherwise(root_cause_summary(evidence))
+        .otherwise(F.concat(head, F.when(is_true(F.size(shown) > 0), drivers).otherwise(NO_SUMMARY)))
     )
 
 

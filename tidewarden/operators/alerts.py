@@ -10,9 +10,11 @@ from ..functions.columns import (
     DETECTORS,
     day,
     detector_count,
+    detector_count_of_text,
     detector_struct,
     detectors_from_text,
     is_true,
+    join_same,
     number,
     risk_rank,
 )
@@ -23,6 +25,7 @@ SENT_RISKS = ("HIGH", "MEDIUM")
 SENT_ABS_Z = 2.5
 MIN_DETECTORS = 2
 
+# Columns of the notifications, in order.
 NOTIFICATION_COLUMNS = (
     "series_id",
     "ds",
@@ -52,22 +55,19 @@ def build_alerts(long: DataFrame, explained: DataFrame, status: DataFrame) -> Da
         detector_struct(**{d: F.col(f"anomaly_{d}") for d in DETECTORS}).alias("detectors"),
         "injected_label",
     )
-    return (
-        flagged.join(explained.select("series_id", "ds", "root_cause_json"), ["series_id", "ds"], "left")
-        .join(status, "series_id", "left")
-        .select(
-            "series_id",
-            "ds",
-            "kpi",
-            "value",
-            "baseline",
-            "z_score",
-            "risk_level",
-            "detectors",
-            "root_cause_json",
-            "validation_status",
-            "injected_label",
-        )
+    caused = join_same(flagged, explained.select("series_id", "ds", "root_cause_json"), ["series_id", "ds"], "left")
+    return join_same(caused, status, ["series_id"], "left").select(
+        "series_id",
+        "ds",
+        "kpi",
+        "value",
+        "baseline",
+        "z_score",
+        "risk_level",
+        "detectors",
+        "root_cause_json",
+        "validation_status",
+        "injected_label",
     )
 
 
@@ -82,7 +82,10 @@ def normalise_alerts(alerts: DataFrame) -> DataFrame:
         c: (F.col(c) if c in alerts.columns else absent).alias(c)
         for c in ("kpi", "risk_level", "root_cause_json", "validation_status", "injected_label")
     }
+    # Text may name detectors that the struct has no field for; they count as well.
+    fired = detector_count_of_text(F.col("detectors")) if stored_as_text else detector_count(F.col("detectors"))
     return alerts.select(
+        fired.alias("detector_count"),
         (F.col("series_id") if has_series else F.lit("all")).alias("series_id"),
         day(F.col("ds")).alias("ds"),
         text["kpi"],
@@ -104,16 +107,19 @@ def meaningful() -> Column:
     return ~failed & strong
 
 
-def worth_sending() -> Column:
+def worth_sending(alerts: DataFrame) -> Column:
     """Meaningful, and raised by at least two detectors."""
-    return meaningful() & (detector_count(F.col("detectors")) >= MIN_DETECTORS)
+    return meaningful() & (_fired(alerts) >= MIN_DETECTORS)
+
+
+def _fired(alerts: DataFrame) -> Column:
+    """Stored alerts bring their count; for others it is that of the flags."""
+    return F.col("detector_count") if "detector_count" in alerts.columns else detector_count(F.col("detectors"))
 
 
 def meaningful_alerts(alerts: DataFrame) -> DataFrame:
     """The alerts worth sending, with ``detector_count``."""
-    return alerts.where(worth_sending()).withColumn(
-        "detector_count", detector_count(F.col("detectors"))
-    )
+    return alerts.where(worth_sending(alerts)).withColumn("detector_count", _fired(alerts))
 
 
 def sent_dates(alerts: DataFrame, cooldown_days: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..functions.columns import DETECTORS, deviation, is_true
+from ..functions.columns import DETECTORS, decisive, deviation, is_true
 
 FLAG_COLUMNS = tuple(f"anomaly_{d}" for d in DETECTORS)
 MIN_VOTES = 2
@@ -14,13 +14,13 @@ MIN_VOTES = 2
 
 def rule_flag(cfg: EngineConfig) -> Column:
     """The value is far from its baseline."""
-    return is_true(F.abs(deviation(F.col("value"), F.col("baseline"))) > cfg.pct_deviation)
+    return is_true(decisive(F.abs(deviation(F.col("value"), F.col("baseline")))) > cfg.pct_deviation)
 
 
 def z_flag(cfg: EngineConfig) -> Column:
     """The z-score is large. It cannot exceed the root of (rows of the frame - 1), so
     with the default frame of 7 rows and threshold 2.5 this detector never fires."""
-    return is_true(F.abs("z") > cfg.z_threshold)
+    return is_true(decisive(F.abs("z")) > cfg.z_threshold)
 
 
 def iqr_flag() -> Column:

@@ -15,14 +15,13 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..functions.columns import number
+from ..functions.columns import join_same, number
 from .baseline import fill_gaps
 
-SAMPLE = 256
 BATCH = 1_000_000
 """Days times trees that a task has in memory at once."""
 UNIT = 1 << 20
@@ -38,14 +37,14 @@ def mean_path(n: np.ndarray) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, out))
 
 
-def path_lengths(x: np.ndarray, seeds: Sequence[Sequence[int]]) -> np.ndarray:
+def path_lengths(x: np.ndarray, seeds: Sequence[Sequence[int]], sample_size: int = 256) -> np.ndarray:
     """Summed path length of each row of ``x`` over one tree per seed.
 
     Node ``i`` of a tree has children ``2i + 1`` and ``2i + 2``. Trees grow a level at
     a time: ``lo``/``hi`` are the ranges of the sampled rows in each node.
     """
     n, width = x.shape
-    size = min(SAMPLE, n)
+    size = min(sample_size, n)
     height = max(1, math.ceil(math.log2(max(size, 2))))
     nodes = (1 << (height + 1)) - 1
     rngs = [np.random.default_rng(seed) for seed in seeds]
@@ -109,11 +108,13 @@ def _block_scorer(kpis: Sequence[str], cfg: EngineConfig) -> Callable[[pd.DataFr
         x = pdf[list(kpis)].to_numpy(dtype=float)
         series, block = pdf["series_id"].iloc[0], int(pdf["block"].iloc[0])
         mine = [[seed, zlib.crc32(str(series).encode()), t] for t in range(block, trees, blocks)]
-        out = pdf[["series_id", "ds"]].assign(path=0, rows=len(pdf))
-        if not mine or np.isnan(x).any():
-            return out.iloc[:0]
+        out = pdf[["series_id", "ds"]].assign(path=pd.array([0] * len(pdf), dtype="Int64"), rows=len(pdf))
+        if np.isnan(x).any():
+            return out.assign(path=pd.array([None] * len(pdf), dtype="Int64"))
+        if not mine:
+            return out
         some = max(1, BATCH // len(x))
-        parts = (path_lengths(x, mine[i : i + some]) for i in range(0, len(mine), some))
+        parts = (path_lengths(x, mine[i : i + some], cfg.forest_sample) for i in range(0, len(mine), some))
         return out.assign(path=sum(parts))
 
     return score
@@ -123,13 +124,18 @@ def score_forest(wide: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Score and flag of each day, as ``(series_id, ds, iforest_score, iforest_raw)``.
 
     Flagged are the days whose score is beyond the quantile that the contamination
-    leaves above it. A series with a metric that is missing on every day has no scores.
+    leaves above it. A series with a metric that is missing on every day has its days with
+    a NULL score, and no flag; the quality report names the metric.
     """
     kpis = list(cfg.kpis)
     filled = fill_gaps(wide.select("series_id", "ds", *[number(F.col(k)).alias(k) for k in kpis]), kpis)
     blocks = F.sequence(F.lit(0), F.lit(max(1, cfg.forest_blocks) - 1))
+    # With an explicit number: grouping alone would keep all blocks of a series in the
+    # task that filled its gaps, and adaptive execution would coalesce them again.
+    tasks = cfg.forest_tasks or int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     paths = (
         filled.select("*", F.explode(blocks).alias("block"))
+        .repartition(tasks, "series_id", "block")
         .groupBy("series_id", "block")
         .applyInPandas(
             _block_scorer(kpis, cfg), "series_id string, ds date, path bigint, rows bigint"
@@ -137,21 +143,20 @@ def score_forest(wide: DataFrame, cfg: EngineConfig) -> DataFrame:
         .groupBy("series_id", "ds")
         .agg(F.sum("path").alias("path"), F.max("rows").alias("rows"))
     )
-    size = F.least(F.col("rows"), F.lit(SAMPLE)).cast("double")
+    size = F.least(F.col("rows"), F.lit(cfg.forest_sample)).cast("double")
     norm = (
         F.when(size > 2, 2.0 * (F.log(size - 1.0) + float(np.euler_gamma)) - 2.0 * (size - 1.0) / size)
         .when(size == 2, 1.0)
     )
     mean = F.col("path") / F.lit(float(UNIT)) / F.lit(float(cfg.forest_trees))
     scores = paths.select("series_id", "ds", F.pow(F.lit(2.0), -mean / norm).alias("iforest_score"))
-    cutoff = scores.groupBy("series_id").agg(
-        F.percentile("iforest_score", F.lit(1.0 - cfg.forest_contamination)).alias("cutoff")
-    )
-    return scores.join(cutoff, "series_id").select(
+    whole = Window.partitionBy("series_id")
+    cutoff = F.percentile("iforest_score", F.lit(1.0 - cfg.forest_contamination)).over(whole)
+    return scores.withColumn("cutoff", cutoff).select(
         "series_id", "ds", "iforest_score", (F.col("iforest_score") > F.col("cutoff")).alias("iforest_raw")
     )
 
 
 def with_forest(wide: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The series with the forest's score and flag of each day attached."""
-    return wide.join(score_forest(wide, cfg), ["series_id", "ds"], "left")
+    return join_same(wide, score_forest(wide, cfg), ["series_id", "ds"], "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_KPIS
 from ..functions.columns import number, percent
+from .rollup import SERIES
 
 # Checks, limits and wording of the report.
 REQUIRED = ("ds", *DEFAULT_KPIS)
@@ -14,11 +15,19 @@ NEGATIVE_CHECKED = ("revenue", "orders")
 MAX_NULL_RATE = 0.02
 MAX_GAP_DAYS = 2
 STATUS = ("PASS", "WARN", "FAIL")
+MISSING = "Missing: {}"
+DS_NULLS = "ds contains nulls"
+DUPLICATES = " duplicate dates"
+NEGATIVE = " days with {} < 0"
+NULL_RATE = "{} null rate = "
+GAP = ("Max gap between dates = ", " days")
+CLEAN = ("all", "PASS", "No issues detected")
 
 
 def quality_report(wide: DataFrame) -> DataFrame:
     """Issues found, as ``(series_id, check, severity, detail)``; a clean series has one
-    PASS row.
+    PASS row. An input without rows is one series without days: missing columns are
+    reported for it, and otherwise it is clean.
 
     Rows are first reduced per day, so repeated or missing dates do not pile up in one
     task, and the gap search sees each date once.
@@ -51,6 +60,14 @@ def quality_report(wide: DataFrame) -> DataFrame:
         *[F.sum(f"null_{k}").alias(f"null_{k}") for k in kpis],
     )
 
+    # One row if, and only if, the input has none.
+    nothing = wide.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0).select(
+        F.lit(SERIES).alias("series_id"),
+        *[F.lit(0).cast("bigint").alias(c) for c in stats.columns if c not in ("series_id", "gap")],
+        *[F.lit(None).cast("int").alias(c) for c in stats.columns if c == "gap"],
+    )
+    stats = stats.unionByName(nothing)
+
     issues: list[Column] = []
 
     def issue(when: Column, check: str, severity: str, detail: Column) -> None:
@@ -60,29 +77,29 @@ def quality_report(wide: DataFrame) -> DataFrame:
         issues.append(F.when(when, entry))
 
     if missing:
-        issue(F.lit(True), "schema_required_cols", "FAIL", F.lit(f"Missing: {missing}"))
+        issue(F.lit(True), "schema_required_cols", "FAIL", F.lit(MISSING.format(missing)))
     if has_ds:
-        issue(F.col("null_ds") > 0, "ds_nulls", "FAIL", F.lit("ds contains nulls"))
-        issue(F.col("dup_ds") > 0, "ds_duplicates", "FAIL", F.concat(F.col("dup_ds").cast("string"), F.lit(" duplicate dates")))
+        issue(F.col("null_ds") > 0, "ds_nulls", "FAIL", F.lit(DS_NULLS))
+        issue(F.col("dup_ds") > 0, "ds_duplicates", "FAIL", F.concat(F.col("dup_ds").cast("string"), F.lit(DUPLICATES)))
     for k in negative:
         n = F.col(f"neg_{k}")
-        issue(n > 0, f"{k}_negative", "FAIL", F.concat(n.cast("string"), F.lit(f" days with {k} < 0")))
+        issue(n > 0, f"{k}_negative", "FAIL", F.concat(n.cast("string"), F.lit(NEGATIVE.format(k))))
     for k in kpis:
-        rate = F.col(f"null_{k}").cast("double") / F.col("n")
-        issue(rate > MAX_NULL_RATE, f"null_rate_{k}", "WARN", F.concat(F.lit(f"{k} null rate = "), percent(rate, 2)))
+        rate = F.try_divide(F.col(f"null_{k}").cast("double"), F.col("n"))
+        issue(rate > MAX_NULL_RATE, f"null_rate_{k}", "WARN", F.concat(F.lit(NULL_RATE.format(k)), percent(rate, 2)))
     if has_ds:
         issue(
             F.col("gap") > MAX_GAP_DAYS,
             "date_gaps",
             "WARN",
-            F.concat(F.lit("Max gap between dates = "), F.col("gap").cast("string"), F.lit(" days")),
+            F.concat(F.lit(GAP[0]), F.col("gap").cast("string"), F.lit(GAP[1])),
         )
     found = F.array_compact(F.array(*issues))
     clean = F.array(
         F.struct(
-            F.lit("all").alias("check"),
-            F.lit("PASS").alias("severity"),
-            F.lit("No issues detected").alias("detail"),
+            F.lit(CLEAN[0]).alias("check"),
+            F.lit(CLEAN[1]).alias("severity"),
+            F.lit(CLEAN[2]).alias("detail"),
         )
     )
     return stats.select("series_id", F.inline(F.when(F.size(found) > 0, found).otherwise(clean)))

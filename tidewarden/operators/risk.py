@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..functions.columns import deviation
+from ..functions.columns import decisive, deviation
 
 
 def risk_level(cfg: EngineConfig) -> Column:
     """NONE unless flagged; else by size of the z-score. A flagged revenue far enough
     below its baseline is HIGH whatever its z-score."""
-    z = F.abs("z")
+    z = decisive(F.abs("z"))
     big_drop = (F.col("kpi") == "revenue") & (
-        deviation(F.col("value"), F.col("baseline")) <= -cfg.revenue_drop_pct
+        decisive(deviation(F.col("value"), F.col("baseline"))) <= -cfg.revenue_drop_pct
     )
     return (
         F.when(~F.col("anomaly_flag"), "NONE")

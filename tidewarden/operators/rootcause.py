@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
-from ..functions.columns import risk_rank
+from ..functions.columns import join_same, risk_rank
 from ..functions.message import EVIDENCE_TYPE
 
 # Segments that enter the total, segments listed, total used for 0.
@@ -52,12 +52,8 @@ def segment_changes(days: DataFrame, segments: DataFrame, cfg: EngineConfig) ->
         F.col("orders").cast("double")
     )
     dates = F.sequence(F.date_sub("anomaly_ds", cfg.lookback_days), F.col("anomaly_ds"))
-    paired = (
-        days.where(F.col("ds").isNotNull())
-        .select("series_id", F.col("ds").alias("anomaly_ds"), "primary_kpi")
-        .select("*", F.explode(dates).alias("ds"))
-        .join(segments, ["series_id", "ds"])
-    )
+    dated = days.where(F.col("ds").isNotNull()).select("series_id", F.col("ds").alias("anomaly_ds"), "primary_kpi")
+    paired = join_same(dated.select("*", F.explode(dates).alias("ds")), segments, ["series_id", "ds"])
     today = F.col("ds") == F.col("anomaly_ds")
     sides = paired.select(
         "series_id",
@@ -127,7 +123,7 @@ def evidence(days: DataFrame, drivers: DataFrame, cfg: EngineConfig) -> DataFram
     document = F.struct(
         F.col("primary_kpi"), F.array(*[block(d) for d in cfg.dimensions]).alias("evidence")
     ).cast(EVIDENCE_TYPE)
-    return days.join(listed, ["series_id", "ds"], "left").select(
+    return join_same(days, listed, ["series_id", "ds"], "left").select(
         "series_id", "ds", document.alias("evidence")
     )
 
@@ -147,4 +143,4 @@ def explained_days(long: DataFrame, segments: DataFrame, cfg: EngineConfig) -> D
 def attach_root_cause(long: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Adds ``root_cause_json`` to the rows of flagged days."""
     found = explained_days(long, segments, cfg).drop("evidence")
-    return long.join(found, ["series_id", "ds"], "left")
+    return join_same(long, found, ["series_id", "ds"], "left")

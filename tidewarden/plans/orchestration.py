@@ -33,7 +33,7 @@ def orchestrate_alerts(
     stored = read_alerts(spark, alerts_path, alerts_fmt or fmt)
     alerts = normalise_alerts(stored)
     counts = alerts.agg(
-        F.count(F.lit(1)).alias("input"), F.count_if(worth_sending()).alias("meaningful")
+        F.count(F.lit(1)).alias("input"), F.count_if(worth_sending(alerts)).alias("meaningful")
     ).first()
 
     result = notifications(alerts, EngineConfig(cooldown_days=cooldown_days))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
+from ..functions.columns import join_same
 from ..operators.alerts import build_alerts
 from ..operators.baseline import ROLLING_COLUMNS, add_rolling_stats
 from ..operators.detect import FLAG_COLUMNS, detect_anomalies
@@ -92,7 +93,8 @@ def run_pipeline(
     series = step(apply_scenarios(kpi_daily_from_rollup(rollup), cfg), "series")
 
     report = step(quality_report(series), "quality")
-    kpi_path = write_table(_edge(series, series_col), f"{out}/kpi_daily", fmt)
+    order = ["series_id", "ds"] if series_col else ["ds"]
+    kpi_path = write_table(_edge(series, series_col).orderBy(*order), f"{out}/kpi_daily", fmt)
     report_path = write_table(_edge(report, series_col), f"{out}/data_quality_report", fmt)
 
     status = quality_status(report)
@@ -106,11 +108,11 @@ def run_pipeline(
     # The trees of a series are spread over tasks only as far as there are tasks to fill.
     fill = math.ceil(spark.sparkContext.defaultParallelism / max(1, n["passed"]))
     cfg = cfg.with_(forest_blocks=max(1, min(cfg.forest_blocks, fill)))
-    checked = series.join(passed.select("series_id"), "series_id", "left_semi")
+    checked = join_same(series, passed.select("series_id"), ["series_id"], "left_semi")
     found = step(features(checked, cfg), "features")
     segments = segment_daily_from_rollup(rollup)
     alerts = build_alerts(found, explained_days(found, segments, cfg), passed)
-    alerts_path = write_table(_edge(alerts, series_col), f"{out}/alerts", fmt)
+    alerts_path = write_table(_edge(alerts, series_col).orderBy(*order, "kpi"), f"{out}/alerts", fmt)
     return PipelineResult(
         OK, kpi_path, report_path, alerts_path, step.path("features"), step.path("rollup")
     )

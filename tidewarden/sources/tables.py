@@ -24,7 +24,7 @@ RAW_COLUMNS = {
         "order_id": "string",
         "customer_id": "string",
         "order_status": "string",
-        "order_purchase_timestamp": "timestamp",
+        "order_purchase_timestamp": "timestamp_ntz",
     },
     "customers": {"customer_id": "string", "customer_state": "string"},
     "items": {
