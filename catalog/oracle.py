@@ -131,15 +131,19 @@ roll AS (
          CASE WHEN n30 = 30 THEN q3 + 1.5 * (q3 - q1) END AS iqr_hi
   FROM quartiles)"""
 
-FLAGS = """
+def flags(with_forest: bool = False) -> str:
+    """Detectors, their vote and risk; with the forest's vote after the cold start."""
+    vote = "coalesce(iforest_raw, false) AND row_pos >= 35" if with_forest else "false"
+    rows = "roll LEFT JOIN forest USING (ds)" if with_forest else "roll"
+    return f"""
 detectors AS (
   SELECT *, (v - baseline) / nullif(baseline, 0) AS dev,
          coalesce(round(abs((v - baseline) / nullif(baseline, 0)), 12) > 0.2, false) AS anomaly_rule,
          coalesce(round(abs(z), 12) > 2.0, false) AS anomaly_z,
-         coalesce(v < iqr_lo OR v > iqr_hi, false) AS anomaly_iqr, false AS anomaly_iforest
-  FROM roll),
+         coalesce(v < iqr_lo OR v > iqr_hi, false) AS anomaly_iqr, {vote} AS anomaly_iforest
+  FROM {rows}),
 flags AS (
-  SELECT *, (anomaly_rule::INT + anomaly_z::INT + anomaly_iqr::INT >= 2) AND row_pos >= 35 AS anomaly_flag
+  SELECT *, (anomaly_rule::INT + anomaly_z::INT + anomaly_iqr::INT + anomaly_iforest::INT >= 2) AND row_pos >= 35 AS anomaly_flag
   FROM detectors),
 risk AS (
   SELECT *, CASE WHEN NOT anomaly_flag THEN 'NONE'
@@ -148,6 +152,65 @@ risk AS (
                  WHEN round(abs(z), 12) >= 1.5 THEN 'LOW' ELSE 'NONE' END AS risk_level
   FROM flags)"""
 
+
+def forest(source: str, trees: int = 300, seed: int = 42, contamination: float = 0.03) -> str:
+    """The isolation forest of one series of at least 256 days: samples and draws by md5,
+    one level of all trees after the other, then all days sent down them."""
+    xs = [f"x{i}" for i in range(len(KPIS))]
+    fills = ", ".join(
+        f"coalesce(last_value({k} IGNORE NULLS) OVER (ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+        f"first_value({k} IGNORE NULLS) OVER (ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS {x}"
+        for k, x in zip(KPIS, xs)
+    )
+    columns = ", ".join(xs)
+    ends = ", ".join(f"min({x}) AS l{i}, max({x}) AS h{i}" for i, x in enumerate(xs))
+    varying = [f"(h{i} > l{i})::INT" for i in range(len(xs))]
+    before = ["0", *(" + ".join(varying[:i]) for i in range(1, len(xs)))]
+    chosen = "CASE " + " ".join(f"WHEN h{i} > l{i} AND {before[i]} = pick THEN {i}" for i in range(len(xs))) + " END"
+    of = lambda p, f: "CASE " + f + " " + " ".join(f"WHEN {i} THEN {p}{i}" for i in range(len(xs))) + " END"
+    unit = lambda at: f"('0x' || substr(h, {at}, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE"
+    ctes = [
+        f"filled AS (SELECT series_id, ds, {fills} FROM {source})",
+        f"tree_of AS (SELECT t FROM range({trees}) AS r(t))",
+        "ordered AS (SELECT t, filled.*, row_number() OVER (PARTITION BY t ORDER BY "
+        f"substr(md5('{seed}|' || series_id || '|' || t || '|' || strftime(ds, '%Y-%m-%d')), 1, 16)) AS n FROM filled, tree_of)",
+        f"at0 AS (SELECT t, 0 AS node, {columns} FROM ordered WHERE n <= 256)",
+    ]
+    for k in range(9):
+        ctes.append(f"stats{k} AS (SELECT t, node, count(*) AS c, {ends} FROM at{k} GROUP BY t, node)")
+        if k == 8:
+            break
+        ctes += [
+            f"drawn{k} AS (SELECT *, md5('{seed}|all|' || t || '|n' || node) AS h FROM stats{k} WHERE {' OR '.join(f'h{i} > l{i}' for i in range(len(xs)))})",
+            f"picked{k} AS (SELECT *, floor(({unit(1)}) * ({' + '.join(varying)}))::INT AS pick, {unit(9)} AS u FROM drawn{k})",
+            f"fed{k} AS (SELECT *, {chosen} AS f FROM picked{k})",
+            f"split{k} AS (SELECT t, node, f, CASE WHEN lo + u * (hi - lo) >= hi THEN lo ELSE lo + u * (hi - lo) END AS cut "
+            f"FROM (SELECT t, node, f, u, {of('l', 'f')} AS lo, {of('h', 'f')} AS hi FROM fed{k}))",
+            f"at{k + 1} AS (SELECT a.t, 2 * a.node + 1 + ({of('x', 'f')} > cut)::INT AS node, {columns} "
+            f"FROM at{k} a JOIN split{k} s ON a.t = s.t AND a.node = s.node)",
+        ]
+    ctes += [
+        "splits AS (" + " UNION ALL ".join(f"SELECT * FROM split{k}" for k in range(8)) + ")",
+        "sizes AS (" + " UNION ALL ".join(f"SELECT t, node, c FROM stats{k}" for k in range(9)) + ")",
+        f"down0 AS (SELECT t, ds, 0 AS node, {columns} FROM ordered)",
+    ]
+    for k in range(8):
+        ctes.append(
+            f"down{k + 1} AS (SELECT d.t, d.ds, CASE WHEN s.t IS NULL THEN d.node ELSE 2 * d.node + 1 + ({of('x', 'f')} > cut)::INT END AS node, "
+            f"{columns} FROM down{k} d LEFT JOIN splits s ON d.t = s.t AND d.node = s.node)"
+        )
+    gamma = "0.5772156649015329::DOUBLE"
+    mean = f"CASE WHEN c <= 1 THEN 0.0::DOUBLE WHEN c = 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * (ln(c - 1.0::DOUBLE) + {gamma}) - 2.0::DOUBLE * (c - 1.0::DOUBLE) / c END"
+    norm = f"(2.0::DOUBLE * (ln(255.0::DOUBLE) + {gamma}) - 2.0::DOUBLE * 255.0::DOUBLE / 256.0::DOUBLE)"
+    ctes += [
+        f"lengths AS (SELECT ds, sum(round((floor(log2(d.node + 1)) + {mean}) * 1048576)::BIGINT)::DOUBLE AS path "
+        "FROM down8 d JOIN sizes z ON d.t = z.t AND d.node = z.node GROUP BY ds)",
+        f"scored AS (SELECT ds, pow(2.0::DOUBLE, -(path / 1048576.0::DOUBLE / {trees}) / {norm}) AS iforest_score FROM lengths)",
+        f"forest AS (SELECT ds, iforest_score, iforest_score > (SELECT quantile_cont(iforest_score, {1 - contamination}) FROM scored) AS iforest_raw FROM scored)",
+    ]
+    return "\n" + ",\n".join(ctes)
+
+
 SEGMENTS = "\nsegments AS (" + " UNION ALL ".join(
     f"""
   SELECT 'all' AS series_id, purchase_date AS ds, '{d}' AS dimension, {d} AS segment,
@@ -303,10 +366,10 @@ def _sql(select: str, *ctes: str) -> str:
 def oracle_sql() -> dict[str, str]:
     plain = (RAW, kpi())
     rolled = (*plain, long("series"), ROLL)
-    risky = (*rolled, FLAGS)
+    risky = (*rolled, flags())
     caused = (*risky, SEGMENTS, PRIMARY, changes(6))
     caused_exact = (*risky, SEGMENTS, PRIMARY, changes())
-    over = (*plain, OVERLAY, long("overlaid"), ROLL, FLAGS, report("overlaid"), ALERTS)
+    over = (*plain, OVERLAY, long("overlaid"), ROLL, flags(), report("overlaid"), ALERTS)
     by_state = (RAW, kpi("customer_state"))
     flag_columns = "anomaly_rule, anomaly_z, anomaly_iqr, anomaly_iforest, anomaly_flag"
     daily = f"SELECT ds, {r('revenue')} AS revenue, orders, {r('aov')} AS aov, {r('payment_fail_rate')} AS payment_fail_rate FROM series"
@@ -400,7 +463,7 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_alerts_unnamed_series": _sql(
             f"SELECT nullif(series_id, '') AS series_id, ds, kpi, {r('v')} AS value, risk_level, validation_status, true AS explained "
             "FROM risk JOIN status USING (series_id) WHERE anomaly_flag AND validation_status <> 'FAIL'",
-            RAW, kpi("CASE WHEN customer_state > 'M' THEN '' ELSE 'A to M' END"), OVERLAY, long("overlaid"), ROLL, FLAGS, report("overlaid"),
+            RAW, kpi("CASE WHEN customer_state > 'M' THEN '' ELSE 'A to M' END"), OVERLAY, long("overlaid"), ROLL, flags(), report("overlaid"),
         ),
         "quality_report_damaged": _sql(
             """SELECT nullif(series_id, '') AS series_id, "check", severity, detail FROM report""", *plain, DAMAGED, report("damaged")
@@ -421,6 +484,16 @@ def oracle_sql() -> dict[str, str]:
         "orchestration_messages": _sql(
             "SELECT ds, kpi, risk_level, message FROM messages JOIN sent USING (ds, kpi)", *over, SEGMENTS, PRIMARY, changes(6), MESSAGES
         ),
+        "iforest_scores": _sql(
+            f"SELECT 'all' AS series_id, ds, {r('iforest_score')} AS iforest_score, iforest_raw FROM forest", *plain, forest("series")
+        ),
+        "detect_flags_with_forest": _sql(
+            f"SELECT ds, kpi, {flag_columns} FROM flags", *rolled, forest("series"), flags(True)
+        ),
+        "pipeline_alerts_with_forest": _sql(
+            f"SELECT {alert_columns} FROM alerts",
+            *plain, OVERLAY, long("overlaid"), ROLL, forest("overlaid"), flags(True), report("overlaid"), ALERTS,
+        ),
         "alert_table": _sql(f"SELECT {alert_columns} FROM alerts", *over),
         "alerts_csv_roundtrip": _sql(f"SELECT {alert_columns} FROM alerts", *over),
         "pipeline_alerts": _sql(f"SELECT {alert_columns} FROM alerts", *over),

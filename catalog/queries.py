@@ -210,7 +210,7 @@ def q_ffill_bfill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_iforest_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return score_forest(_series(spark, sf), WITH_FOREST)
+    return rounded(score_forest(_series(spark, sf), WITH_FOREST))
 
 
 def q_detect_flags_with_forest(spark: SparkSession, sf: str) -> DataFrame:

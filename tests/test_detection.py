@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from hashlib import md5
 
 import numpy as np
 import pytest
@@ -132,20 +133,25 @@ def test_mean_path():
 def test_path_lengths_isolate_outliers():
     x = np.random.default_rng(0).normal(size=(500, 3))
     x[17] = 9.0
-    seeds = [[1, t] for t in range(50)]
-    total = path_lengths(x, seeds)
+    keys, days = [f"1|{t}" for t in range(50)], [str(d(i)) for i in range(500)]
+    total = path_lengths(x, keys, days)
     assert total.argmin() == 17
-    parts = sum(path_lengths(x, seeds[i::4]) for i in range(4))
+    parts = sum(path_lengths(x, keys[i::4], days) for i in range(4))
     assert (parts == total).all()
 
 
-def one_tree(x, seed):
+def one_tree(x, key, days):
     """Path lengths over one tree, node by node, from the same draws."""
-    rng = np.random.default_rng(seed)
     size = min(256, len(x))
     height = max(1, math.ceil(math.log2(max(size, 2))))
-    sample = x[rng.choice(len(x), size, replace=False)]
-    draws = rng.random(((1 << (height + 1)) - 1, 2))
+    hashes = [md5(f"{key}|{day}".encode()).hexdigest() for day in days]
+    sample = x[sorted(range(len(x)), key=hashes.__getitem__)[:size]]
+    draws = np.array(
+        [
+            [int(h[:8], 16) / 2**32, int(h[8:16], 16) / 2**32]
+            for h in (md5(f"{key}|n{n}".encode()).hexdigest() for n in range((1 << (height + 1)) - 1))
+        ]
+    )
 
     def walk(rows, points, node, depth, out, index):
         varying = [f for f in range(x.shape[1]) if rows[:, f].max() > rows[:, f].min()]
@@ -170,9 +176,9 @@ def test_path_lengths_against_single_trees(n):
     rng = np.random.default_rng(n)
     x = np.round(rng.normal(size=(n, 4)), 1)
     x[:, 2] = 1.0
-    seeds = [[4, 2, t] for t in range(12)]
-    want = sum(one_tree(x, s) for s in seeds)
-    assert path_lengths(x, seeds) / (1 << 20) == pytest.approx(want, abs=1e-4)
+    keys, days = [f"4|2|{t}" for t in range(12)], [str(d(i)) for i in range(n)]
+    want = sum(one_tree(x, k, days) for k in keys)
+    assert path_lengths(x, keys, days) / (1 << 20) == pytest.approx(want, abs=1e-4)
 
 
 def forest_input(spark, n=400):

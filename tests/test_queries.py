@@ -14,7 +14,7 @@ from tests.compare import connect, differences
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), oracle_sql()
-WITHOUT_SQL = {"iforest_scores", "detect_flags_with_forest", "pipeline_alerts_with_forest"}
+FOREST = ("iforest_scores", "detect_flags_with_forest")
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +26,8 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_all_but_the_forest_queries_have_sql():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL and set(SQL) <= set(QUERIES)
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -46,7 +46,7 @@ def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+@pytest.mark.parametrize("name", FOREST)
 def test_forest_query_is_repeatable(spark, name):
     first = QUERIES[name](spark, SF).toPandas()
     assert len(first) > 0

@@ -10,8 +10,8 @@ calendar bounds, and works on all its trees at once with array operations.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable, Sequence
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -37,8 +37,22 @@ def mean_path(n: np.ndarray) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, out))
 
 
-def path_lengths(x: np.ndarray, seeds: Sequence[Sequence[int]], sample_size: int = 256) -> np.ndarray:
-    """Summed path length of each row of ``x`` over one tree per seed.
+def sampled(key: str, days: Sequence[str], size: int) -> np.ndarray:
+    """The rows a tree is grown from: those of the smallest hashes of tree and day."""
+    if size >= len(days):
+        return np.arange(len(days))
+    first = b"".join([md5(f"{key}|{d}".encode()).digest()[:8] for d in days])
+    return np.argsort(np.frombuffer(first, dtype=">u8"), kind="stable")[:size]
+
+
+def node_draws(key: str, nodes: int) -> np.ndarray:
+    """Two numbers in [0, 1) for each node of a tree, from the hash of tree and node."""
+    first = b"".join([md5(f"{key}|n{n}".encode()).digest()[:8] for n in range(nodes)])
+    return np.frombuffer(first, dtype=">u4").reshape(nodes, 2) / 2.0**32
+
+
+def path_lengths(x: np.ndarray, keys: Sequence[str], days: Sequence[str], sample_size: int = 256) -> np.ndarray:
+    """Summed path length of each row of ``x`` (of ``days``) over one tree per key.
 
     Node ``i`` of a tree has children ``2i + 1`` and ``2i + 2``. Trees grow a level at
     a time: ``lo``/``hi`` are the ranges of the sampled rows in each node.
@@ -47,15 +61,14 @@ def path_lengths(x: np.ndarray, seeds: Sequence[Sequence[int]], sample_size: int
     size = min(sample_size, n)
     height = max(1, math.ceil(math.log2(max(size, 2))))
     nodes = (1 << (height + 1)) - 1
-    rngs = [np.random.default_rng(seed) for seed in seeds]
-    sample = x[np.stack([r.choice(n, size, replace=False) for r in rngs])]
-    draws = np.stack([r.random((nodes, 2)) for r in rngs])
-
-    trees = np.arange(len(seeds))[:, None]
-    at = np.zeros((len(seeds), size), dtype=np.int64)
-    feature = np.full((len(seeds), nodes), -1, dtype=np.int64)
-    cut = np.zeros((len(seeds), nodes))
-    count = np.zeros((len(seeds), nodes), dtype=np.int64)
+    sample = x[np.stack([sampled(k, days, size) for k in keys])]
+    draws = np.stack([node_draws(k, nodes) for k in keys])
+
+    trees = np.arange(len(keys))[:, None]
+    at = np.zeros((len(keys), size), dtype=np.int64)
+    feature = np.full((len(keys), nodes), -1, dtype=np.int64)
+    cut = np.zeros((len(keys), nodes))
+    count = np.zeros((len(keys), nodes), dtype=np.int64)
     for level in range(height + 1):
         here = (at >= (1 << level) - 1) & (at < (2 << level) - 1)
         flat = (trees * nodes + at)[here]
@@ -82,8 +95,8 @@ def path_lengths(x: np.ndarray, seeds: Sequence[Sequence[int]], sample_size: int
         cut.flat[ids[splits]] = value[splits]
         at = _descend(sample, at, feature, cut, trees)
 
-    spot = np.zeros((len(seeds), n), dtype=np.int64)
-    everyone = np.broadcast_to(x, (len(seeds), n, width))
+    spot = np.zeros((len(keys), n), dtype=np.int64)
+    everyone = np.broadcast_to(x, (len(keys), n, width))
     for _ in range(height):
         spot = _descend(everyone, spot, feature, cut, trees)
     depth = np.floor(np.log2(np.arange(nodes) + 1.0))
@@ -107,14 +120,15 @@ def _block_scorer(kpis: Sequence[str], cfg: EngineConfig) -> Callable[[pd.DataFr
         pdf = pdf.sort_values("ds", kind="stable")
         x = pdf[list(kpis)].to_numpy(dtype=float)
         series, block = pdf["series_id"].iloc[0], int(pdf["block"].iloc[0])
-        mine = [[seed, zlib.crc32(str(series).encode()), t] for t in range(block, trees, blocks)]
+        days = [str(ds) for ds in pdf["ds"]]
+        mine = [f"{seed}|{series}|{t}" for t in range(block, trees, blocks)]
         out = pdf[["series_id", "ds"]].assign(path=pd.array([0] * len(pdf), dtype="Int64"), rows=len(pdf))
         if np.isnan(x).any():
             return out.assign(path=pd.array([None] * len(pdf), dtype="Int64"))
         if not mine:
             return out
         some = max(1, BATCH // len(x))
-        parts = (path_lengths(x, mine[i : i + some], cfg.forest_sample) for i in range(0, len(mine), some))
+        parts = (path_lengths(x, mine[i : i + some], days, cfg.forest_sample) for i in range(0, len(mine), some))
         return out.assign(path=sum(parts))
 
     return score
