@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.shuffle.partitions": "16",
 }
 
@@ -71,6 +72,31 @@ def test_hot_keys_are_split_and_results_are_whole(spark, small_limits):
     assert tidy(kpi_daily_from_rollup(rollup), 3) == tidy(kpi_daily(facts), 3)
 
 
+@pytest.mark.parametrize("hot_rows", [100, 100_000])
+def test_the_mart_deals_a_hot_order_out(spark, small_limits, hot_rows):
+    """Whole with and without salts; with them no task gets the order alone."""
+    tables = hot(spark)
+    facts = order_facts(tables, hot_rows=hot_rows)
+    plain = (
+        tables.orders.join(tables.customers, "customer_id")
+        .join(tables.items, "order_id")
+        .join(tables.products, "product_id", "left")
+        .join(tables.payments, "order_id", "left")
+    )
+    def counts(df):
+        return sorted(
+            tuple(r)
+            for r in df.groupBy("order_id")
+            .agg(F.count("*"), F.count("payment_type"), F.countDistinct("product_id"), F.sum("price"))
+            .where("order_id < 50")
+            .collect()
+        )
+
+    assert counts(facts) == counts(plain)
+    tasks = facts.where("order_id = 1").groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 1 if hot_rows == 100 else tasks >= 1
+
+
 def test_a_hot_order_is_small_when_it_is_joined(spark, small_limits):
     """Nothing but its distinct segments is left of the order with a third of the items."""
     tables = hot(spark)

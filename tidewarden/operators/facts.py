@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, number, timestamp
 
 FANOUT = ("faithful", "dedup")
+HOT_ROWS = 100_000
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -72,16 +74,43 @@ def order_payments(raw: RawTables, fanout: str = "faithful") -> DataFrame:
     )
 
 
-def order_facts(raw: RawTables, fanout: str = "faithful") -> DataFrame:
+def _hot(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """Orders with more than ``hot_rows`` rows: one in so many rows at most, which bounds
+    what is broadcast of them."""
+    counts = rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    return F.broadcast(counts.select("order_id", F.lit(True).alias("hot")))
+
+
+def _spread(rows: DataFrame, hot: DataFrame, salt: str) -> DataFrame:
+    """Rows with a salt, which deals those of a hot order out."""
+    own = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    return rows.join(hot, "order_id", "left").withColumn(salt, F.when(F.col("hot"), own).otherwise(0)).drop("hot")
+
+
+def _repeat(rows: DataFrame, hot: DataFrame, salt: str) -> DataFrame:
+    """Rows once for each salt that rows of their order can have on the other side."""
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.join(hot, "order_id", "left").withColumn(salt, F.explode(salts))
+
+
+def order_facts(raw: RawTables, fanout: str = "faithful", hot_rows: int = HOT_ROWS) -> DataFrame:
     """The mart. An order with several payments repeats its items once for each
     (``faithful``); orders without items are not in it.
 
-    Items and payments are both joined on the order, so they share one partitioning.
+    An order with very many items or payments, found by a count of its rows, is dealt out
+    by a salt and its other side repeated, so that it is joined in ``SALTS`` tasks.
     """
+    payments = order_payments(raw, fanout)
+    many_items, many_payments = _hot(raw.items, hot_rows), _hot(raw.payments, hot_rows)
+    items = _spread(priced_items(raw), many_items, "item_salt")
+    lines = _repeat(order_headers(raw), many_items, "item_salt").drop("hot").join(items, ["order_id", "item_salt"])
+    paid = _spread(payments, many_payments, "paid_salt").withColumn("paid", F.lit(True))
+    paid = _repeat(paid, many_items, "item_salt").drop("hot")
     return (
-        order_headers(raw)
-        .join(priced_items(raw), "order_id")
-        .join(order_payments(raw, fanout), "order_id", "left")
+        _repeat(lines, many_payments, "paid_salt")
+        .join(paid, ["order_id", "item_salt", "paid_salt"], "left")
+        # A salt that no payment of a hot order has stands for no missing payment.
+        .where(F.col("paid").isNotNull() | F.col("hot").isNull())
         .select(
             "order_id",
             "purchase_ts",
