@@ -33,3 +33,12 @@ def with_outputs(rows: DataFrame, columns: list[str], **outputs: Column) -> Data
     output replaces an input column of its name and stands in its place."""
     kept = [outputs[c].alias(c) if c in outputs else F.col("row").getField(c).alias(c) for c in columns]
     return rows.select(*kept, *[v.alias(k) for k, v in outputs.items() if k not in columns])
+
+
+def hash_share(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """About ``rows`` of the rows: those whose 64-bit hash lies in the lowest share of all
+    values that is made for so many. No sort, and the same rows whatever the order."""
+    n = df.count()
+    if n <= rows:
+        return df
+    return df.where(F.col(column) < -(2**63) + int(2**64 * (rows / n)))

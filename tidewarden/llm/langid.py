@@ -23,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_steps
+from .columns import hash_share
 
 BUCKETS = 1 << 14
 SAMPLE = 8_000
-"""Labelled rows that the trigram table is fitted on: those of the smallest text hash."""
+"""Different labelled texts, about, that the trigram table is fitted on: those whose hash
+falls into a share of all hashes that is made for so many."""
 UNKNOWN = "und"
 LEAST = 10
 """Trigrams below which a text says nothing."""
@@ -86,9 +88,9 @@ def primary_tag(tag: Column) -> Column:
 def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE) -> Model:
     """Counts reach the driver: one row per language and bucket at most."""
     read = labelled.select(primary_tag(F.col(f"`{lang_col}`")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    read = read.where((F.col("lang") != "") & F.col("text").isNotNull())
-    read = read.orderBy(F.xxhash64("text"), "text", "lang").limit(sample).repartition(16)
-    found = read.mapInArrow(_counter, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    read = read.where((F.col("lang") != "") & F.col("text").isNotNull()).withColumn("hash", F.xxhash64("text"))
+    few = hash_share(read, "hash", sample).groupBy("hash").agg(F.min(F.struct("text", "lang")).alias("one"))
+    found = few.select("one.lang", "one.text").mapInArrow(_counter, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = found.collect()
     languages = tuple(sorted({r["lang"] for r in rows}))
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
