@@ -76,7 +76,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, total in counts.items():
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(at)), pa.array(at), pa.array(total[at])], names=["lang", "bucket", "n"]
+            [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["lang", "bucket", "n"]
         )
 
 
