@@ -134,7 +134,8 @@ def _named(prints: DataFrame, step: Steps, crowded: int) -> DataFrame:
     roots = components(links(nodes.select("fp"), step, crowded), step)
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     placed = step(placed.select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Tables of their own, as a join right above an aggregate could not split a large group.
+    least = step(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return step(placed.join(least, "root").select("fp", "root", "component_id"), "named")
 
 
@@ -170,7 +171,8 @@ def keep_first(
     prints = step(read.select("id", "__row", _simhash("text").alias("fp")), "prints")
     rows = prints.join(_named(prints, step, crowded), "fp")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "__row")
-    firsts = rows.groupBy("root").agg(F.min(order)["__row"].alias("stays"))
+    rows = step(rows.select("id", "__row", "root"), "rows")
+    firsts = step(rows.groupBy("root").agg(F.min(order)["__row"].alias("stays")), "firsts")
     gone = step(rows.join(firsts, "root").where("__row <> stays").select("__row").distinct(), "gone")
     kept = marked.join(gone, "__row", "left_anti")
     if not prints.groupBy("__row").count().where("count > 1").isEmpty():
