@@ -24,10 +24,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_steps
+from .columns import hash_share
 
 PIVOTS = 128
 SAMPLE = 4096
-"""Vectors that pivots are drawn from: those of the smallest hash of their id."""
+"""Vectors, about, that pivots are drawn from: those whose id's hash falls into a share
+of all hashes that is made for so many."""
 POSTS = 2
 PROBE_SHARE = 0.5
 RERANK_SHARE = 0.15
@@ -51,7 +53,9 @@ def usable(embedding: Column) -> Column:
 def draw_pivots(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
     """Up to ``pivots`` different vectors of the sample's commonest length, each far from
     those before it: the next pivot is the sampled vector least near to any so far."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()
+    hashed = vectors.withColumn("hash", F.xxhash64("id"))
+    rows = hash_share(hashed, "hash", sample).groupBy("hash").agg(F.min("vector").alias("vector")).collect()
+    rows.sort(key=lambda r: r["hash"])
     lengths = [len(r["vector"]) for r in rows]
     if not rows:
         return np.zeros((0, 0))
