@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-WORDS_KEPT = 700_000
+WORDS_KEPT = 350_000
 """Words whose ids a worker keeps; beyond that it starts anew."""
 LONG = 1 << 20
 """Characters of a part of a long text."""
