@@ -105,3 +105,31 @@ def test_odd_rows_clashing_names_and_empty_input(odd, empty):
     assert rows[3]["text"] is None and rows[3]["n_pii"] == 0 and rows[4]["text"] == ""
     assert rows[6]["found"] == 1
     assert pseudonymise(empty, KEY).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "after"),
+    [
+        ("phone", "+49 30 1234567", ""),
+        ("phone", "+49 170 1234567", ""),
+        ("phone", "+44 7911 123456", ""),
+        ("phone", "+33 6 12 34 56 78", ""),
+        ("us", "212 555 0123", ""),
+        ("iban", "ES91 2100 0418 4502 0005 1332", " BIC"),
+        ("iban", "AT61 1904 3002 3457 3201", " 12"),
+        ("iban", "BE68 5390 0754 7034", " BICX AB"),
+        ("phone", "+44 20 7946 0958", " 123456"),
+    ],
+)
+def test_spaced_values_are_found_whole(kind, value, after):
+    new, spans = Pseudonyms(KEY).text(f"see {value}{after}.")
+    assert [(s[2], s[0], s[1]) for s in spans] == [(kind, 4, 4 + len(value))]
+    assert value not in new and new.endswith(f"{after}.")
+    assert Pseudonyms(KEY, back=True).text(new)[0] == f"see {value}{after}."
+
+
+def test_values_after_a_phone_number_are_their_own():
+    text = "+49 30 1234567 2020-02-29, +33 6 12 34 56 78 123-45-6789, +49 30 123456 10.0.0.1"
+    new, spans = Pseudonyms(KEY).text(text)
+    assert [s[2] for s in spans] == ["phone", "iso", "phone", "ssn", "phone", "ip"]
+    assert Pseudonyms(KEY, back=True).text(new)[0] == text

@@ -56,12 +56,14 @@ _NUMBER = re.compile(
     r"|(?P<day>[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?![0-9]|[-/.][0-9])"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9]|-[0-9])"
     r"|(?P<card>[0-9]{13,19}|[0-9]{4}(?P<s3>[ -])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{1,7}|[0-9]{4}(?P<s4>[ -])[0-9]{6}(?P=s4)[0-9]{5})(?![0-9])"
-    r"|(?P<us>(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"
-    r"|(?P<phone>\+[2-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,12}(?:[ .-][0-9]{2,4}){0,4})(?![0-9])"
+    r"|(?P<us>(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"
+    r"|(?P<phone>\+[2-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,12}(?:[ .-][0-9]{1,12}){0,7})(?![0-9])"
     r"|(?P<iban>[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?))(?![A-Za-z0-9])"
     r")"
 )
 
+_SPACED = re.compile(r"[ .-]")
+
 
 def luhn_digit(body: str) -> int:
     """The check digit that follows ``body``."""
@@ -235,6 +237,30 @@ class Pseudonyms:
             self.seen[at] = getattr(self, kind)(value)
         return self.seen[at]
 
+    def number(self, m: re.Match[str]) -> tuple[int, int, str, str] | None:
+        """The span of a match of ``_NUMBER``. Phone numbers and IBANs may have taken what
+        follows them: ends before a later group are tried too. A phone number ends
+        before another value, else as late as it can, rather at a space."""
+        kind = next(k for k in ("ip", "iso", "day", "ssn", "card", "us", "phone", "iban") if m[k])
+        text, (start, stop) = m.string, m.span()
+        ends = [stop]
+        if kind in ("phone", "iban"):
+            cuts = [start + c.start() for c in _SPACED.finditer(m[0])][::-1]
+            spaces = [c for c in cuts if text[c] == " "]
+            ends += spaces
+            if kind == "phone":
+                ends = [c for c in spaces[::-1] if self._other_at(text, c + 1)] + ends + [c for c in cuts if text[c] != " "]
+        for end in ends:
+            new = self.of(kind, text[start:end])
+            if new is not None:
+                return start, end, kind, new
+        return None
+
+    def _other_at(self, text: str, at: int) -> bool:
+        m = _NUMBER.match(text, at)
+        kind = m and next((k for k in ("ip", "iso", "day", "ssn", "card") if m[k]), None)
+        return bool(kind) and self.of(kind, m[0]) is not None
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """``(start, stop, kind, pseudonym)`` in order; where two overlap, secrets go
         before addresses and these before numbers, then the earlier."""
@@ -247,11 +273,12 @@ class Pseudonyms:
         if "@" in text:
             found += [(*m.span(), "email", self.of("email", m[0])) for m in _EMAIL.finditer(text)]
         if _DIGIT.search(text):
-            for m in _NUMBER.finditer(text):
-                kind = next(k for k in ("ip", "iso", "day", "ssn", "card", "us", "phone", "iban") if m[k])
-                new = self.of(kind, m[0])
-                if new is not None:
-                    found.append((*m.span(), kind, new))
+            m = _NUMBER.search(text)
+            while m:
+                span = self.number(m)
+                if span:
+                    found.append(span)
+                m = _NUMBER.search(text, span[1] if span else m.start() + 1)
         order = {"secret": 0, "email": 1}
         out: list[tuple[int, int, str, str]] = []
         starts: list[int] = []
