@@ -110,3 +110,23 @@ def test_odd_rows_and_empty_input(odd, empty, model):
     nothing = langid.fit(empty, "text", "lang")
     assert nothing.languages == (langid.UNKNOWN,)
     assert langid.keep_known(empty).count() == 0
+
+
+def test_a_rare_language_is_fitted_and_its_documents_stay(spark, docs):
+    """Whatever the sample: two texts of a language among 400 others."""
+    texts = [r["text"] for r in docs.select("text").distinct().collect()]
+    rows = [(i, f"{i} {texts[i % len(texts)]}", "en", None, 1) for i in range(400)]
+    rare = "これは日本語の文章です。とても長い文章ではありませんが、十分です。"
+    rows += [(1000 + i, rare * (i + 1), "ja", None, 1) for i in range(2)]
+    df = spark.createDataFrame(rows, docs.schema)
+    assert langid.fit(df, "text", "lang", sample=10).languages == ("en", "ja", langid.UNKNOWN)
+    kept = {r["doc_id"] for r in langid.keep_known(df, sample=10).select("doc_id").collect()}
+    assert {1000, 1001} <= kept
+
+
+def test_copies_do_not_shrink_the_sample(spark, docs):
+    one = spark.createDataFrame([("eine Zeile, die sich sehr oft wiederholt", "de")], "text string, lang string")
+    other = docs.select("text", F.lit("de").alias("lang")).distinct().limit(60).localCheckpoint()
+    copies = one.crossJoin(spark.range(2000)).select("text", "lang")
+    got, want = (langid.fit(df.unionAll(other), "text", "lang", sample=100) for df in (copies, one))
+    assert got.languages == want.languages and (got.table == want.table).all()

@@ -6,8 +6,9 @@ language is counted over all rows. The prior of a row is its host's mix of langu
 smoothed towards its parent domain's, and that towards the whole corpus's, from grouped
 counts; the row itself is left out of its host's. All are multiplied and normalised.
 
-The trigram table is fitted on a bounded sample of labelled rows; every count, prior and
-witness table is made from all rows. Hosts are joined salted, so one that holds a third
+The languages are those of all labelled rows with letters. The trigram table is fitted on
+a bounded sample of each language's texts; every count, prior and witness table is made
+from all rows. Hosts are joined salted, so one that holds a third
 of the rows is spread over ``SALT`` keys.
 """
 
@@ -23,12 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_steps
-from .columns import hash_share
-
 BUCKETS = 1 << 14
 SAMPLE = 8_000
-"""Different labelled texts, about, that the trigram table is fitted on: those whose hash
-falls into a share of all hashes that is made for so many."""
+"""Different labelled texts of each language, about, that the trigram table is fitted on:
+those whose hash falls into a share of all hashes that is made for so many."""
+LETTER = r"[\p{L}\x{10000}-\x{10FFFF}]"
 UNKNOWN = "und"
 LEAST = 10
 """Trigrams below which a text says nothing."""
@@ -86,11 +86,18 @@ def primary_tag(tag: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE) -> Model:
-    """Counts reach the driver: one row per language and bucket at most."""
+    """Every language that a text with letters is labelled with is fitted, on ``sample`` or
+    so of its different texts. Counts reach the driver: one row per language, and one per
+    language and bucket at most."""
     read = labelled.select(primary_tag(F.col(f"`{lang_col}`")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    read = read.where((F.col("lang") != "") & F.col("text").isNotNull()).withColumn("hash", F.xxhash64("text"))
-    few = hash_share(read, "hash", sample).groupBy("hash").agg(F.min(F.struct("text", "lang")).alias("one"))
-    found = few.select("one.lang", "one.text").mapInArrow(_counter, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    read = read.where((F.col("lang") != "") & F.col("text").rlike(LETTER)).withColumn("hash", F.xxhash64("text"))
+    counts = read.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    below = {r["lang"]: -(2**63) + int(2**64 * (sample / r["n"])) for r in counts if r["n"] > sample}
+    if below:
+        limits = F.create_map(*[F.lit(x) for pair in sorted(below.items()) for x in pair])
+        read = read.where(F.coalesce(F.col("hash") < F.try_element_at(limits, F.col("lang")), F.lit(True)))
+    few = read.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    found = few.select("lang", "text").mapInArrow(_counter, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = found.collect()
     languages = tuple(sorted({r["lang"] for r in rows}))
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
