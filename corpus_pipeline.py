@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm.langid import keep_known
 from tidewarden.llm.linededup import dedup_lines
-from tidewarden.llm.neardups import keep_unlike
 from tidewarden.llm.packing import pack_documents
 from tidewarden.llm.pii import pseudonymise
 from tidewarden.llm.queries import KEY
+from tidewarden.llm.simhash import keep_first
 from tidewarden.sources.shared import new_steps
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -38,8 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less those that are like one of a smaller id that stays."""
-    return keep_unlike(docs)
+    """One document of each group of SimHash near-duplicates."""
+    return keep_first(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
