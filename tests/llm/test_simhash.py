@@ -5,7 +5,9 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tidewarden.llm.columns import ROW
 from tidewarden.llm.components import components
 from tidewarden.llm.simhash import keep_first, near_duplicates, simhash
 from tidewarden.sources.shared import new_steps
@@ -97,3 +99,14 @@ def test_one_row_of_each_group_stays(odd, empty, docs):
     assert keep_first(empty).count() == 0
     groups = near_duplicates(docs).toPandas()
     assert sorted(r["doc_id"] for r in keep_first(docs).collect()) == sorted(set(groups["component_id"]))
+
+
+def test_rows_that_share_64_bits_are_told_apart(spark, monkeypatch):
+    """The first hash of all rows is the same: no row goes for another."""
+    from tidewarden.llm import simhash as module
+
+    plain = module.row_key
+    monkeypatch.setattr(module, "row_key", lambda df: [F.lit(0).cast("bigint").alias(ROW[0]), plain(df)[1]])
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "seven eight nine ten eleven")]
+    kept = keep_first(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]

@@ -22,6 +22,18 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+ROW = ("__row_a", "__row_b")
+"""Columns that tell a row from others, by 128 bits."""
+_SECOND = 0x5EED
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """The columns ``ROW``: two hashes of the whole row, the second with another seed. So
+    two different rows of 1e11 share them with a chance of 1e-17."""
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(*whole).alias(ROW[0]), F.xxhash64(F.lit(_SECOND), *whole).alias(ROW[1])]
+
+
 def select_as(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that no other column
     of the input can clash with those the operator adds."""

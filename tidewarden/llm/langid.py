@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_steps
+from .columns import ROW, row_key
 BUCKETS = 1 << 14
 SAMPLE = 8_000
 """Different labelled texts of each language, about, that the trigram table is fitted on:
@@ -100,9 +101,10 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, sample: int = SAMPLE)
     found = few.select("lang", "text").mapInArrow(_counter, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = found.collect()
     languages = tuple(sorted({r["lang"] for r in rows}))
+    place = {lang: i for i, lang in enumerate(languages)}
     table = np.full((len(languages) + 1, BUCKETS), 0.5)
     for r in rows:
-        table[languages.index(r["lang"]), r["bucket"]] += r["n"]
+        table[place[r["lang"]], r["bucket"]] += r["n"]
     table[-1] = 1.0
     return Model((*languages, UNKNOWN), np.log(table / table.sum(axis=1, keepdims=True)))
 
@@ -230,11 +232,10 @@ def keep_known(
     """The rows of ``docs`` whose language is known, as they are. Rows that agree in all
     columns are decided alike. An empty table stays so. Texts are not shuffled while the
     rows to leave out are few enough for Spark to broadcast them."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.select("*", row.alias("__row"))
+    marked = docs.select("*", *row_key(docs))
     model = fit(docs, text_col, declared_col, sample)
     read = marked.select(
-        "__row",
+        *ROW,
         F.col(f"`{text_col}`").alias("text"),
         F.col(f"`{declared_col}`").alias("declared"),
         F.lit(None).cast("string").alias("suffix"),
@@ -242,5 +243,5 @@ def keep_known(
     )
     step = new_steps(docs.sparkSession, "langid-kept")
     found = step(identify(read, model), "found")
-    rejected = step(found.where(~accepted(found, keep)).select("__row").distinct(), "rejected")
-    return marked.join(rejected, "__row", "left_anti").drop("__row")
+    rejected = step(found.where(~accepted(found, keep)).select(*ROW).distinct(), "rejected")
+    return marked.join(rejected, list(ROW), "left_anti").drop(*ROW)

@@ -14,6 +14,7 @@ one node throughout.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql.types import LongType
 
 from ..sources.shared import new_steps
 from ..sources.tables import Steps
+from .columns import ROW, row_key
 from .components import components
 
 WIDTH = 3
@@ -163,18 +165,20 @@ def keep_first(
 ) -> DataFrame:
     """One row of ``docs`` for each component, as it is: that of the smallest id (a null
     one only where there is no other), of those the smallest hash of the whole row, and
-    one of repeated rows. All columns are passed through. Texts are shuffled only where
+    one of repeated rows. A row is told from others by 128 bits of hash. All columns are passed through. Texts are shuffled only where
     the rows to drop are too many to broadcast, or where rows repeat."""
     step = new_steps(docs.sparkSession, "simhash")
-    marked = docs.select("*", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    read = marked.select(F.col(f"`{id_col}`").alias("id"), "__row", F.col(f"`{text_col}`").cast("string").alias("text"))
-    prints = step(read.select("id", "__row", _simhash("text").alias("fp")), "prints")
+    marked = docs.select("*", *row_key(docs))
+    read = marked.select(F.col(f"`{id_col}`").alias("id"), *ROW, F.col(f"`{text_col}`").cast("string").alias("text"))
+    prints = step(read.select("id", *ROW, _simhash("text").alias("fp")), "prints")
     rows = prints.join(_named(prints, step, crowded), "fp")
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "__row")
-    rows = step(rows.select("id", "__row", "root"), "rows")
-    firsts = step(rows.groupBy("root").agg(F.min(order)["__row"].alias("stays")), "firsts")
-    gone = step(rows.join(firsts, "root").where("__row <> stays").select("__row").distinct(), "gone")
-    kept = marked.join(gone, "__row", "left_anti")
-    if not prints.groupBy("__row").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__row"])
-    return kept.drop("__row")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", *ROW)
+    rows = step(rows.select("id", *ROW, "root"), "rows")
+    least = F.min(order)
+    firsts = step(rows.groupBy("root").agg(*[least[c].alias(f"{c}_stays") for c in ROW]), "firsts")
+    other = reduce(Column.__or__, [F.col(c) != F.col(f"{c}_stays") for c in ROW])
+    gone = step(rows.join(firsts, "root").where(other).select(*ROW).distinct(), "gone")
+    kept = marked.join(gone, list(ROW), "left_anti")
+    if not prints.groupBy(*ROW).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(list(ROW))
+    return kept.drop(*ROW)
