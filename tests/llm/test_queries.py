@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_document_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next "
     "distinct_shingles kept_in_edited",
     "op10_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 

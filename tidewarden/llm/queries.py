@@ -17,8 +17,10 @@ from .linededup import dedup_lines
 from .packing import pack_documents
 from .permindex import nearest
 from .pii import pseudonymise
+from .rtree import hard_negatives
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
+from .vectors import finite, floored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +102,13 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "embeddings").where(finite(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), floored(F.col("embedding")).alias("embedding"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
