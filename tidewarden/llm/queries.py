@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bytebpe import token_digests
 from .counttree import apply_edits, count_trees
+from .covertree import product_codes
 from .fingerprint import fingerprint_edits
 from .langid import accepted, fit, identify, page_rows
 from .licensescan import scan_licenses
@@ -109,6 +110,11 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "embeddings").where(finite(F.col("embedding")))
+    return product_codes(rows.select("vec_id", "label", floored(F.col("embedding")).alias("embedding")))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 

@@ -47,5 +47,51 @@ QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DE
 """
 
 
+def _vector_codes(rounds: int = 2) -> str:
+    """Plain Lloyd's rounds, each a few common table expressions."""
+    apart = "list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)"
+    parts = [
+        f"""kept AS (
+  SELECT vec_id, label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v, len(embedding) // 16 AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND {_SOUND}
+)""",
+        "cut AS (SELECT vec_id, label, p, v[p * w + 1 : (p + 1) * w] AS x FROM kept, range(16) t(p))",
+        """book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM cut
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64
+)""",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""near{n} AS MATERIALIZED (
+  SELECT vec_id, label, p, any_value(x) AS x, min(struct_pack(d := {apart}, e := e)) AS best
+  FROM cut JOIN book{n} USING (p) GROUP BY vec_id, label, p
+)""")
+        if n < rounds:
+            parts.append(f"""mean{n} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, best.e AS e, i, floor(sum(x[i]) / count(*)) AS m
+    FROM near{n}, range(1, 1 + (SELECT max(w) FROM kept)) t(i) GROUP BY ALL
+  ) GROUP BY p, e
+),
+book{n + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN mean{n} m ON b.p = m.p AND b.e = m.e
+)""")
+    steps = ",\n".join(parts)
+    return f"""
+WITH {steps},
+digest AS (
+  SELECT sha256(string_agg(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN c], ','), ',' ORDER BY p, e)) AS codebooks_sha256
+  FROM book{rounds}
+),
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(lower(lpad(to_hex(best.e), 2, '0')), '' ORDER BY p) AS code,
+         CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10, "op11_hard_negatives": OP11}
+    return {"op10_line_dedup": OP10, "op11_hard_negatives": OP11, "op12_vector_codes": _vector_codes()}
