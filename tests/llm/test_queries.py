@@ -22,6 +22,7 @@ COLUMNS = {
     "op10_line_dedup": "doc_id n_lines n_dropped kept_sha256",
     "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     "op12_vector_codes": "vec_id code error label_error codebooks_sha256",
+    "op13_repeated_passages": "doc_id n_bytes n_removed n_spans kept_sha256",
 }
 
 

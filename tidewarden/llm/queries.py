@@ -21,6 +21,7 @@ from .pii import pseudonymise
 from .rtree import hard_negatives
 from .simhash import near_duplicates
 from .sql import oracle_sql as _oracle_sql
+from .suffixes import repeated_passages
 from .vectors import finite, floored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,10 @@ def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     return product_codes(rows.select("vec_id", "label", floored(F.col("embedding")).alias("embedding")))
 
 
+def op13_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
