@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidewarden.llm.suffixes import COVER, LENGTH, PERIOD, Group, fingerprints, repeated_passages
+from tidewarden.llm.suffixes import COVER, LENGTH, PERIOD, Buckets, Group, fingerprints, repeated_passages
 
 
 def plain(rows: list[tuple], length: int = LENGTH) -> list[tuple]:
@@ -73,8 +73,8 @@ def test_shifted_overlapping_and_crossing_passages(spark):
 def test_one_group_by_brute_force(symbols, length):
     text = "".join("abc"[s] for s in symbols) + "".join("abc"[s] for s in symbols[5:])
     group = Group(np.frombuffer(text.encode(), dtype=np.uint8), np.array([len(text)]), length)
-    none = np.zeros(0, dtype=np.uint64)
-    assert [("1", *t) for t in group.told(none, none)] == plain([(1, text)], length)
+    any_ = Buckets(10, 1, 10)
+    assert [("1", *t) for t in group.told(any_, [], any_, [])] == plain([(1, text)], length)
 
 
 def test_fingerprints_over_several_segments(monkeypatch):

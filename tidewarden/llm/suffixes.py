@@ -13,9 +13,10 @@ particular order: buckets are even however the texts begin. Documents, in order
 ids, are strung into groups of a bounded size, numbered in that order. Inside a group a task
 settles ties itself, and of each tie sends the first only; so a passage that a third of all
 documents hold is one entry per group. Between groups travel sorted runs of fingerprints,
-no texts; a bucket returns to each group those that an earlier group (for ranks: any other)
-holds. Fingerprints are made in ``passes``, one range of them each, which bounds what is on
-disk at a time; a task holds one group, or one bucket.
+no texts; a bucket answers each group by one bit for each fingerprint, which says that an
+earlier group (for ranks: any other) holds it too. Fingerprints are made in ``passes``, one
+range of them each, which bounds what is on disk at a time; a task holds one group, or one
+bucket.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,44 +84,93 @@ def fingerprints(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+class Sorted:
+    """Fingerprints in order: the different ones, and which of them each place has."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.ones(len(keys), dtype=bool)
+        np.not_equal(keys[1:], keys[:-1], out=first[1:])
+        self.starts = np.flatnonzero(first)
+        self.keys = keys[self.starts]
+        self.order, self.rank = order, np.empty(len(keys), dtype=np.int64)
+        self.rank[order] = np.cumsum(first) - 1
+
+    def common(self) -> np.ndarray:
+        """Which of the different ones occur more than once."""
+        return np.diff(self.starts, append=len(self.order)) > 1
+
+    def firsts(self) -> np.ndarray:
+        """The first occurrence of each."""
+        return np.minimum.reduceat(self.order, self.starts) if len(self.starts) else self.starts
+
+    def run(self, buckets: Buckets, number: int) -> slice:
+        low, high = buckets.bounds(number)
+        ends = np.searchsorted(self.keys, np.array([low, min(high, 2**64 - 1)], dtype=np.uint64))
+        return slice(ends[0], ends[1] if high < 2**64 else len(self.keys))
+
+    def answered(self, buckets: Buckets, answers: list[dict]) -> np.ndarray:
+        """Which of the different ones the buckets' answers mark."""
+        out = np.zeros(len(self.keys), dtype=bool)
+        for answer in answers:
+            run = self.run(buckets, answer["bucket"])
+            bits = np.frombuffer(answer["bits"], dtype=np.uint8)
+            out[run] = np.unpackbits(bits, count=run.stop - run.start).view(bool)
+        return out
+
+
+class Buckets:
+    """Equal ranges of fingerprints."""
+
+    def __init__(self, n_keys: int, passes: int, size: int) -> None:
+        self.passes = max(1, passes)
+        self.each = max(1, math.ceil(n_keys / self.passes / size))
+        self.width = -(-(2**64) // (self.passes * self.each))
+
+    def bounds(self, number: int) -> tuple[int, int]:
+        return min(number * self.width, 2**64 - 1), (number + 1) * self.width
+
+    def of_pass(self, n: int) -> range:
+        return range(n * self.each, (n + 1) * self.each)
+
+
 class Group:
     """The texts of a group, strung together."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, length: int) -> None:
         self.data, self.ends, self.length = data, ends, length
-        self.end_of = np.repeat(ends, np.diff(ends, prepend=0)).astype(np.int64)
+        self.end_of = np.repeat(ends, np.diff(ends, prepend=0))
 
-    def samples(self) -> tuple[np.ndarray, np.ndarray]:
+    def samples(self) -> tuple[np.ndarray, Sorted]:
         """Places of the cover samples, and their fingerprints."""
         depth = self.length - PERIOD + 1
         at = (np.arange(0, len(self.data), PERIOD)[:, None] + np.array(COVER)).ravel()
         at = at[at < len(self.data)]
         at = at[at + depth <= self.end_of[at]]
-        return at, fingerprints(self.data, at, depth)
+        return at, Sorted(fingerprints(self.data, at, depth))
 
-    def ties(self, elsewhere: np.ndarray) -> np.ndarray:
-        """Places of suffixes with a sample whose rank occurs again, here or in another
-        group (``elsewhere``, sorted)."""
-        at, keys = self.samples()
+    def suffixes(self, ranks: Buckets, answers: list[dict]) -> tuple[np.ndarray, Sorted]:
+        """Places of the long ties, which have a sample whose rank occurs again, here or in
+        another group, and their fingerprints."""
+        at, found = self.samples()
+        tied = at[(found.common() | found.answered(ranks, answers))[found.rank]]
         mark = np.zeros(len(self.data) + 1, dtype=np.int32)
-        tied = at[repeats(keys, any_=True) | among(keys, elsewhere)]
         np.add.at(mark, np.maximum(tied - PERIOD + 1, 0), 1)
-        np.add.at(mark, tied + 1, -1)
+        mark[tied + 1] -= 1
         places = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-        return places[places + self.length <= self.end_of[places]]
+        places = places[places + self.length <= self.end_of[places]]
+        return places, Sorted(fingerprints(self.data, places, self.length))
 
-    def suffixes(self, elsewhere: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the long ties, and their fingerprints."""
-        at = self.ties(elsewhere)
-        return at, fingerprints(self.data, at, self.length)
-
-    def told(self, elsewhere: np.ndarray, earlier: np.ndarray) -> list[tuple]:
+    def told(self, ranks: Buckets, answers: list[dict], tails: Buckets, earlier: list[dict]) -> list[tuple]:
         """Per document: its bytes, those removed, their runs, and the rest's digest."""
-        at, keys = self.suffixes(elsewhere)
-        again = at[repeats(keys) | among(keys, earlier)]
+        at, found = self.suffixes(ranks, answers)
+        again = np.ones(len(at), dtype=bool)
+        again[found.firsts()] = found.answered(tails, earlier)
+        again = at[again]
         mark = np.zeros(len(self.data) + 1, dtype=np.int32)
         mark[again] += 1
-        np.add.at(mark, again + self.length, -1)
+        mark[again + self.length] -= 1
         gone = np.cumsum(mark[:-1]) > 0
         out, start = [], 0
         for end in self.ends.tolist():
@@ -132,24 +183,6 @@ class Group:
         return out
 
 
-def repeats(keys: np.ndarray, any_: bool = False) -> np.ndarray:
-    """Which keys occurred before; with ``any_``, which occur more than once."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    out = np.zeros(len(keys), dtype=bool)
-    out[order[1:]] = same
-    if any_:
-        out[order[:-1]] |= same
-    return out
-
-
-def among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
-    """Which keys are among ``some``, which is sorted."""
-    if not len(some):
-        return np.zeros(len(keys), dtype=bool)
-    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
-
-
 def _stringer(group: int) -> Callable:
     def string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -160,7 +193,7 @@ def _stringer(group: int) -> Callable:
         def row() -> pa.RecordBatch:
             ends = np.cumsum([len(t) for t in texts])
             columns = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64()))]
-            columns += [pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([b"".join(texts)], pa.binary())]
+            columns += [pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts), 1)], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["g", "ids", "ends", "data"])
 
         for batch in batches:
@@ -178,64 +211,58 @@ def _stringer(group: int) -> Callable:
     return string
 
 
-def _keys(value: pa.Scalar) -> np.ndarray:
-    """The fingerprints of a row's runs, sorted."""
-    runs = [np.frombuffer(run, dtype=np.uint64) for run in value.as_py() or []]
-    return np.sort(np.concatenate(runs)) if runs else np.zeros(0, dtype=np.uint64)
-
-
 def _groups(batch: pa.RecordBatch, length: int) -> Iterator[tuple[dict, Group]]:
     at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
     for i in range(batch.num_rows):
-        data = np.frombuffer(at["data"][i].as_buffer() or b"", dtype=np.uint8)
+        data = np.frombuffer(zstandard.decompress(at["data"][i].as_buffer()), dtype=np.uint8)
         ends = np.array(at["ends"][i].as_py(), dtype=np.int64)
-        yield {k: v[i] for k, v in at.items() if k != "data"}, Group(data, ends, length)
+        yield {k: v[i].as_py() or [] for k, v in at.items() if k not in ("data", "g")} | {"g": at["g"][i].as_py()}, Group(data, ends, length)
 
 
-def _sender(length: int, ranks: bool, low: int, step: int, buckets: int) -> Callable:
-    """Sorted runs of a group's fingerprints in ``[low, low + step * buckets)``, by bucket."""
+def _sender(length: int, ranks: Buckets, tails: Buckets | None, n: int) -> Callable:
+    """Runs of each group's fingerprints, by bucket of the ``n``-th pass: those of its
+    samples, or, with ``tails``, of its long ties."""
+    buckets = tails or ranks
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = np.array([min(low + step * i, 2**64 - 1) for i in range(buckets + 1)], dtype=np.uint64)
         for batch in batches:
             for row, group in _groups(batch, length):
-                keys = group.samples()[1] if ranks else group.suffixes(_keys(row["ties"]))[1]
-                keys = keys[(keys >= cuts[0]) & (keys <= cuts[-1])]
-                keys = np.unique(keys)
-                at = np.searchsorted(keys, cuts[1:-1])
-                runs = [(n, run.tobytes()) for n, run in enumerate(np.split(keys, at)) if len(run)]
+                _, found = group.suffixes(ranks, row["ties"]) if tails else group.samples()
+                runs = [(b, found.keys[found.run(buckets, b)]) for b in buckets.of_pass(n)]
+                runs = [(b, run.tobytes()) for b, run in runs if len(run)]
                 if not runs:
                     continue
-                columns = [pa.array([n for n, _ in runs], pa.int32()), pa.array([row["g"].as_py()] * len(runs), pa.int64())]
+                columns = [pa.array([b for b, _ in runs], pa.int32()), pa.array([row["g"]] * len(runs), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([run for _, run in runs], pa.binary())], names=["bucket", "g", "keys"])
 
     return send
 
 
 def _sorter(earlier: bool) -> Callable:
-    """For each group of a bucket, those of its keys that an earlier group, or else any
-    other group, holds too."""
+    """For each group of a bucket, which of its keys an earlier group, or else any other
+    group, holds too. A group sends a key once."""
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("g", kind="stable")
         runs = [np.frombuffer(run, dtype=np.uint64) for run in pdf["keys"]]
-        keys = np.concatenate(runs)
-        owner = np.repeat(np.arange(len(runs), dtype=np.int32), [len(run) for run in runs])
-        found = np.flatnonzero(repeats(keys, any_=not earlier))
-        keys, owner = keys[found], owner[found]
-        rows, starts = np.unique(owner, return_index=True)
-        return pd.DataFrame({"g": pdf["g"].to_numpy()[rows], "keys": [part.tobytes() for part in np.split(keys, starts[1:])] if len(rows) else []})
+        found = Sorted(np.concatenate(runs))
+        marked = found.common()[found.rank]
+        if earlier:
+            marked[found.firsts()] = False
+        parts = np.split(marked, np.cumsum([len(run) for run in runs])[:-1])
+        bits = [np.packbits(part).tobytes() if part.any() else None for part in parts]
+        return pdf[["bucket", "g"]].assign(bits=bits).dropna(subset="bits")
 
     return sort
 
 
-def _teller(length: int) -> Callable:
+def _teller(length: int, ranks: Buckets, tails: Buckets) -> Callable:
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, group in _groups(batch, length):
-                told = group.told(_keys(row["ties"]), _keys(row["earlier"]))
+                told = group.told(ranks, row["ties"], tails, row["earlier"])
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-                columns = [row["ids"].values, *[pa.array(c, t) for c, t in zip(zip(*told), kinds)]]
+                columns = [pa.array(row["ids"], pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*told), kinds)]]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return tell
@@ -252,18 +279,15 @@ def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_FREE, before)
 
 
-def _shared(groups: DataFrame, step: Steps, name: str, length: int, ranks: bool, n_keys: int, passes: int, bucket: int) -> DataFrame:
-    """``(g, keys)``: fingerprints of a group that others hold too (``ranks``), or that
-    earlier ones do, as one list of sorted runs per group."""
-    buckets = max(1, math.ceil(n_keys / passes / bucket))
-    width = -(-(2**64) // (passes * buckets))
+def _answers(groups: DataFrame, step: Steps, name: str, length: int, ranks: Buckets, tails: Buckets | None = None) -> DataFrame:
+    """``(g, name)``: the answers of all buckets to each group."""
     found = None
-    for n in range(passes):
-        sent = groups.mapInArrow(_sender(length, ranks, n * width * buckets, width, buckets), _KEYS)
-        told = sent.groupBy("bucket").applyInPandas(_sorter(not ranks), "g bigint, keys binary")
+    for n in range(ranks.passes):
+        sent = groups.mapInArrow(_sender(length, ranks, tails, n), _KEYS)
+        told = sent.groupBy("bucket").applyInPandas(_sorter(tails is not None), "bucket int, g bigint, bits binary")
         told = step(told, f"{name}-{n}")
         found = told if found is None else found.unionAll(told)
-    return found.groupBy("g").agg(F.collect_list("keys").alias("keys"))
+    return found.groupBy("g").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
 
 
 def repeated_passages(
@@ -299,13 +323,12 @@ def repeated_passages(
         parts = max(1, math.ceil(size / (16 * max(group, 1 << 20))), min(spark.sparkContext.defaultParallelism, math.ceil(size / group)))
         placed = read.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         groups = step(placed.mapInArrow(_stringer(group), _GROUPS), "groups")
-        samples = size * len(COVER) // PERIOD
-        ties = step(_shared(groups.select("g", "ends", "data"), step, "ranks", length, True, samples, passes, bucket), "ties")
-        ties = ties.withColumnRenamed("keys", "ties")
-        known = groups.select("g", "ends", "data").join(ties, "g", "left")
+        ranks = Buckets(size * len(COVER) // PERIOD, passes, bucket)
+        texts = groups.select("g", "ends", "data")
+        ties = step(_answers(texts, step, "ties", length, ranks), "ties")
         # Texts that all repeat send four times as many, which a task holds as well.
-        earlier = step(_shared(known, step, "suffixes", length, False, size // 4, passes, bucket), "earlier")
-        earlier = earlier.withColumnRenamed("keys", "earlier")
-        whole = groups.join(ties, "g", "left").join(earlier, "g", "left")
-        told = step(whole.mapInArrow(_teller(length), _TOLD), "told")
+        tails = Buckets(size // 4, passes, bucket)
+        earlier = _answers(texts.join(ties, "g", "left"), step, "earlier", length, ranks, tails)
+        whole = groups.join(ties, "g", "left").join(step(earlier, "earlier"), "g", "left")
+        told = step(whole.mapInArrow(_teller(length, ranks, tails), _TOLD), "told")
     return told.withColumnRenamed("doc_id", id_col)
