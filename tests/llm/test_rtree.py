@@ -71,13 +71,22 @@ def test_boxes_bound_every_product_and_the_queue_prunes(monkeypatch):
         own = scores[tree.first[leaf] : tree.last[leaf]]
         assert least[0][leaf] <= own.min() and own.max() <= most[0][leaf]
     seen = []
-    from tidewarden.llm import rtree
 
-    plainly = rtree._products
-    monkeypatch.setattr(rtree, "_products", lambda a, b: seen.append(len(a)) or plainly(a, b))
-    ids, best = tree.best(query[0], (least[0], most[0]), np.ones(2000, dtype=bool), -(2**62), 2**62, -(2**62), 5)
-    order = np.lexsort((np.arange(2000), -(x @ query[0])))[:5]
-    assert list(ids) == list(order) and sum(seen) < 1000
+    class Counting(np.ndarray):
+        def __getitem__(self, key):
+            seen.append(key.stop - key.start)
+            return np.asarray(self)[key]
+
+    bounds = least[0].tolist(), most[0].tolist()
+    top = int(scores.max())
+    windows = [(-(2**62), 2**62, -(2**62)), (0, top - 1, 0)]
+    found = tree.best(tree.x.view(Counting), query[0], bounds, np.ones(2000, dtype=bool), windows, 5)
+    plainly = x @ query[0]
+    for (low, high, _), (ids, best) in zip(windows, found):
+        fits = np.flatnonzero((plainly >= low) & (plainly <= high))
+        order = fits[np.lexsort((fits, -plainly[fits]))[:5]]
+        assert list(ids) == list(order) and list(best) == list(plainly[order])
+    assert sum(seen) < 1000
 
 
 def test_floors_and_sound_vectors(spark):

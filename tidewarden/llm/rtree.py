@@ -34,7 +34,7 @@ from .vectors import equal_length
 
 TILE = 8_192
 """Rows of a tile."""
-LEAF = 64
+LEAF = 128
 FANOUT = 8
 """Rows of a leaf, and children of a box."""
 CUTS = 4
@@ -50,10 +50,13 @@ FOUND = "q bigint, id bigint, score bigint"
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of the rows of two integer arrays, exact: by floating point where
     every partial sum fits into its 53 bits, else in 64-bit integers."""
-    most = lambda x: int(np.abs(x).max(initial=0))
-    if most(a) * most(b) * max(1, a.shape[1]) < 2**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    kind = _exact(a, b)
+    return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> type:
+    most = [int(np.abs(x).max(initial=0)) for x in (a, b)]
+    return np.float64 if most[0] * most[1] * max(1, a.shape[1]) < 2**53 else np.int64
 
 
 def _str_order(x: np.ndarray, leaf: int) -> np.ndarray:
@@ -106,34 +109,43 @@ class Tree:
         return tree
 
     def best(
-        self, query: np.ndarray, bounds: tuple[np.ndarray, np.ndarray], mask: np.ndarray, low: int, high: int, floor: int, k: int
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """The first ``k`` rows of ``mask`` with ``low <= score <= high`` and no lower than
-        ``floor``, by score and then by smaller id."""
+        self, x: np.ndarray, query: np.ndarray, bounds: tuple[list, list], mask: np.ndarray, windows: list[tuple[int, int, int]], k: int
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each window ``(low, high, floor)`` the first ``k`` rows of ``mask`` with a
+        score inside it and no lower than its floor, by score and then by smaller id. ``x``
+        are the tree's vectors, as numbers in which products with ``query`` are exact."""
         least, most = bounds
-        ids, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        bar, root, leaves = max(low, floor), len(self.low) - 1, -(-len(self.ids) // LEAF)
-        queue = [(-int(most[root]), root)]
+        none = np.zeros(0, dtype=np.int64)
+        found = [(none, none)] * len(windows)
+        bars, highs = [max(low, floor) for low, _, floor in windows], [high for _, high, _ in windows]
+        lowest, highest = min(bars), max(highs)
+        root, leaves = len(self.low) - 1, -(-len(self.ids) // LEAF)
+        queue = [(-most[root], root)]
         while queue:
             top, node = heapq.heappop(queue)
-            if -top < bar:
+            if -top < lowest:
                 break
             a, b = self.first[node], self.last[node]
             if node >= leaves:
                 for child in range(a, b):
-                    if most[child] >= bar and least[child] <= high:
-                        heapq.heappush(queue, (-int(most[child]), child))
+                    if most[child] >= lowest and least[child] <= highest:
+                        heapq.heappush(queue, (-most[child], child))
                 continue
-            here = _products(self.x[a:b], query[None, :])[:, 0]
-            fits = np.flatnonzero(mask[a:b] & (here >= bar) & (here <= high))
+            scores = x[a:b] @ query
+            fits = np.flatnonzero(mask[a:b] & (scores >= lowest) & (scores <= highest))
             if not len(fits):
                 continue
-            ids, scores = np.concatenate([ids, self.ids[a:b][fits]]), np.concatenate([scores, here[fits]])
-            order = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[order], scores[order]
-            if len(ids) == k:
-                bar = max(bar, int(scores[-1]))
-        return ids, scores
+            scores, ids = scores[fits].astype(np.int64), self.ids[a:b][fits]
+            for w, (bar, high) in enumerate(zip(bars, highs)):
+                own = (scores >= bar) & (scores <= high)
+                if own.any():
+                    all_ids, all_scores = np.concatenate([found[w][0], ids[own]]), np.concatenate([found[w][1], scores[own]])
+                    order = np.lexsort((all_ids, -all_scores))[:k]
+                    found[w] = all_ids[order], all_scores[order]
+                    if len(order) == k:
+                        bars[w] = max(bar, int(found[w][1][-1]))
+            lowest = min(bars)
+        return found
 
 
 def box_bounds(low: np.ndarray, high: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,14 +167,13 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _meet(boxes: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-    """The tiles that may hold what a query asks for."""
-    none = pd.DataFrame({"q": np.zeros(0, np.int64), "tile": np.zeros(0, np.int64)})
+    """The tiles that may hold what an anchor asks for."""
+    none = pd.DataFrame({"a": np.zeros(0, np.int64), "tile": np.zeros(0, np.int64)})
     if not len(boxes) or not len(asked):
         return none
     least, most = box_bounds(_matrix(boxes["low"]), _matrix(boxes["high"]), _matrix(asked["vector"]))
-    bar = np.maximum(asked["low"], asked["floor"]).to_numpy()[:, None]
-    q, t = np.nonzero((most >= bar) & (least <= asked["high"].to_numpy()[:, None]))
-    return pd.DataFrame({"q": asked["q"].to_numpy()[q], "tile": boxes["tile"].to_numpy()[t]})
+    a, t = np.nonzero((most >= asked["low"].to_numpy()[:, None]) & (least <= asked["high"].to_numpy()[:, None]))
+    return pd.DataFrame({"a": asked["a"].to_numpy()[a], "tile": boxes["tile"].to_numpy()[t]})
 
 
 def _searcher(k: int, same: bool):
@@ -170,14 +181,20 @@ def _searcher(k: int, same: bool):
         found = [(np.zeros(0, np.int64),) * 3]
         if len(tiles) and len(asked):
             tree = Tree.load(tiles["tree"].iloc[0])
-            queries = _matrix(asked["vector"])
+            # The windows of one anchor are sought together.
+            asked = asked.sort_values("a", kind="stable")
+            starts = np.flatnonzero(asked["a"].diff().ne(0))
+            queries = _matrix(asked["vector"].iloc[starts])
+            kind = _exact(tree.x, queries)
+            x, points = tree.x.astype(kind), queries.astype(kind)
             least, most = box_bounds(tree.low, tree.high, queries)
-            masks = {x: (tree.labels == x) == same for x in asked["label"].unique()}
-            rows = zip(asked["q"], asked["label"], asked["own"], asked["low"], asked["high"], asked["floor"])
-            for i, (q, label, own, low, high, floor) in enumerate(rows):
-                mask = masks[label] & (tree.ids != own) if same else masks[label]
-                ids, scores = tree.best(queries[i], (least[i], most[i]), mask, low, high, floor, k)
-                found.append((np.full(len(ids), q), ids, scores))
+            q, labels, owns = (asked[c].to_numpy() for c in ("q", "label", "own"))
+            windows = list(zip(*(asked[c].tolist() for c in ("low", "high", "floor"))))
+            masks = {label: (tree.labels == label) == same for label in set(labels)}
+            for i, (at, end) in enumerate(zip(starts, [*starts[1:], len(asked)])):
+                mask = masks[labels[at]] & (tree.ids != owns[at]) if same else masks[labels[at]]
+                best = tree.best(x, points[i], (least[i].tolist(), most[i].tolist()), mask, windows[at:end], k)
+                found += [(np.full(len(ids), q[at + w]), ids, scores) for w, (ids, scores) in enumerate(best)]
         return pd.DataFrame({n: np.concatenate(c) for n, c in zip(("q", "id", "score"), zip(*found))})
 
     return search
@@ -219,11 +236,11 @@ class PackedTree:
         self.n_tiles = self.tiles.count()
 
     def _search(self, asked: DataFrame, met: DataFrame, k: int, same: bool) -> DataFrame:
-        """The best ``k`` in each tile of ``met`` ``(q, tile, chunk)`` for each query."""
+        """The best ``k`` in each tile of ``met`` ``(a, tile, chunk)`` for each query."""
         wanted = met.select("tile", F.col("chunk").alias("part")).distinct()
         needed = self.tiles.select("tile", "tree").join(wanted, "tile").groupBy("tile", "part")
-        met = met.select("q", F.col("tile").alias("at"), F.col("chunk").alias("part"))
-        queries = met.join(asked.drop("chunk", "tile"), "q").groupBy("at", "part")
+        met = met.select("a", F.col("tile").alias("at"), F.col("chunk").alias("part"))
+        queries = met.join(asked.drop("chunk", "tile"), "a").groupBy("at", "part")
         return needed.cogroup(queries).applyInPandas(_searcher(k, same), FOUND)
 
     @staticmethod
@@ -234,12 +251,13 @@ class PackedTree:
     def best(self, queries: DataFrame, k: int, same: bool, name: str) -> DataFrame:
         """``(q, id, score, rank)``: the first ``k`` rows of a label equal to the query's
         (``same``; its ``own`` id left out) or another, with a score in its window.
-        ``queries`` has ``q, label, vector, own, low, high`` and the ``tile`` it lies in."""
-        chunks = max(1, math.ceil(queries.count() / CHUNK))
-        chunk = F.pmod(F.xxhash64("q"), F.lit(chunks)).alias("chunk")
+        ``queries`` has ``q, label, vector, own, low, high``, the ``tile`` it lies in, and
+        ``a``, its anchor's number."""
+        chunks = max(1, math.ceil(queries.select("a").distinct().count() / CHUNK))
+        chunk = F.pmod(F.xxhash64("a"), F.lit(chunks)).alias("chunk")
         lowest = F.lit(-LONGEST)
         start = self.step(queries.select("*", lowest.alias("floor"), chunk), f"{name}-queries")
-        near = self._ranked(self._search(start, start.select("q", "tile", "chunk"), k, same), k)
+        near = self._ranked(self._search(start, start.select("a", "tile", "chunk").distinct(), k, same), k)
         floors = self.step(near.where(F.col("rank") == k).select("q", F.col("score").alias("bar")), f"{name}-floors")
         asked = start.drop("floor").join(floors, "q", "left").withColumn("floor", F.coalesce("bar", lowest)).drop("bar")
         asked = self.step(asked, f"{name}-asked")
@@ -247,10 +265,12 @@ class PackedTree:
         every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
         boxes = self.tiles.select("tile", "low", "high", F.pmod(F.xxhash64("tile"), F.lit(blocks)).alias("block"))
         boxes = boxes.withColumn("chunk", every(chunks))
-        posed = asked.select("q", "vector", "low", "high", "floor", "chunk").withColumn("block", every(blocks))
+        posed = asked.groupBy("a", "vector", "chunk").agg(
+            F.min(F.greatest("low", "floor")).alias("low"), F.max("high").alias("high")
+        ).withColumn("block", every(blocks))
         key = ["block", "chunk"]
-        met = boxes.groupBy(*key).cogroup(posed.groupBy(*key)).applyInPandas(_meet, "q bigint, tile bigint")
-        met = self.step(met.select("q", "tile", F.pmod(F.xxhash64("q"), F.lit(chunks)).alias("chunk")), f"{name}-met")
+        met = boxes.groupBy(*key).cogroup(posed.groupBy(*key)).applyInPandas(_meet, "a bigint, tile bigint")
+        met = self.step(met.select("a", "tile", chunk), f"{name}-met")
         return self.step(self._ranked(self._search(asked, met, k, same), k), f"{name}-found")
 
 
@@ -297,12 +317,12 @@ def hard_negatives(
     chosen = tree.rows.where("anchor").groupBy("id", "label", "vector").agg(F.min("tile").alias("tile"))
     asked = step(chosen.withColumnRenamed("id", "own").withColumn("a", number), "anchors")
     open_ = {"low": F.lit(-LONGEST), "high": F.lit(LONGEST)}
-    first = tree.best(asked.withColumnRenamed("a", "q").withColumns(open_), positives, True, "positives")
+    first = tree.best(asked.withColumns({"q": F.col("a"), **open_}), positives, True, "positives")
     # The ceiling of a percentage, taken apart so that it does not overflow.
     lowest = F.expr(f"{least} * (score DIV 100) + ({least} * (score % 100) + 99) DIV 100").alias("low")
     pairs = first.where("score >= 0").select(F.col("q").alias("a"), F.col("id").alias("positive_id"), lowest, F.col("score").alias("high"))
     pairs = step(pairs.join(asked, "a").withColumn("q", number), "pairs")
-    second = tree.best(pairs.drop("a", "positive_id"), negatives, False, "negatives")
+    second = tree.best(pairs.drop("positive_id"), negatives, False, "negatives")
     named = pairs.select("q", F.col("own").alias("anchor_id"), "positive_id", F.col("high").alias("positive_score"))
     return second.join(named, "q").select(
         "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
