@@ -219,6 +219,27 @@ SEGMENTS = "\nsegments AS (" + " UNION ALL ".join(
     for d in DIMS
 ) + ")"
 
+# Cut i of four bands is the value of rank ceil(n * i / 4).
+BANDS = """
+order_values AS (SELECT order_id, round(sum(price + freight_value), 6) AS value FROM r_items GROUP BY 1),
+by_value AS (SELECT value, row_number() OVER (ORDER BY value) AS n, count(*) OVER () AS total FROM order_values WHERE value IS NOT NULL),
+cuts AS (SELECT min(value) FILTER (n = ceil(total / 4)) AS c1, min(value) FILTER (n = ceil(total * 2 / 4)) AS c2,
+                min(value) FILTER (n = ceil(total * 3 / 4)) AS c3 FROM by_value),
+banded AS (
+  SELECT order_id, value, CASE WHEN value <= c1 THEN '1 of 4' WHEN value <= c2 THEN '2 of 4' WHEN value <= c3 THEN '3 of 4'
+                               WHEN value IS NOT NULL THEN '4 of 4' END AS order_segment
+  FROM order_values, cuts)"""
+
+ORDER_SEGMENTS = """
+order_segments AS (
+  SELECT 'all' AS series_id, purchase_date AS ds, 'order_segment' AS dimension, order_segment AS segment,
+         round(sum(price + freight_value), 2) AS revenue, count(DISTINCT order_id) AS orders
+  FROM mart JOIN banded USING (order_id) WHERE order_status = 'delivered' GROUP BY ALL)"""
+
+FOUR = """
+three AS (SELECT * FROM segments_of_three UNION ALL SELECT * FROM order_segments),
+segments AS (SELECT * FROM three)"""
+
 PRIMARY = """
 ranked_kpis AS (
   SELECT ds, kpi, max(anomaly_flag) OVER (PARTITION BY ds) AS flagged,
@@ -370,6 +391,7 @@ def oracle_sql() -> dict[str, str]:
     caused = (*risky, SEGMENTS, PRIMARY, changes(6))
     caused_exact = (*risky, SEGMENTS, PRIMARY, changes())
     over = (*plain, OVERLAY, long("overlaid"), ROLL, flags(), report("overlaid"), ALERTS)
+    four = (BANDS, ORDER_SEGMENTS, SEGMENTS.replace("segments AS (", "segments_of_three AS ("), FOUR)
     by_state = (RAW, kpi("customer_state"))
     flag_columns = "anomaly_rule, anomaly_z, anomaly_iqr, anomaly_iforest, anomaly_flag"
     daily = f"SELECT ds, {r('revenue')} AS revenue, orders, {r('aov')} AS aov, {r('payment_fail_rate')} AS payment_fail_rate FROM series"
@@ -431,6 +453,28 @@ def oracle_sql() -> dict[str, str]:
         ),
         "segment_daily": _sql("SELECT ds, dimension, segment, revenue, orders FROM segments", RAW, SEGMENTS),
         "segment_daily_rollup": _sql("SELECT ds, dimension, segment, revenue, orders FROM segments", RAW, SEGMENTS),
+        "order_bands": _sql(
+            "SELECT order_segment AS band, count(*) AS orders, min(value) AS least, max(value) AS most, round(sum(value), 2) AS amount "
+            "FROM banded GROUP BY 1",
+            RAW, BANDS,
+        ),
+        "order_segment_daily": _sql("SELECT ds, segment, revenue, orders FROM order_segments", RAW, BANDS, ORDER_SEGMENTS),
+        "order_segment_from_mart": _sql("SELECT ds, segment, revenue, orders FROM order_segments", RAW, BANDS, ORDER_SEGMENTS),
+        "order_segment_drivers": _sql(
+            f"SELECT anomaly_ds, dimension, rank::INTEGER AS rank, segment, {r('today')} AS today, {r('baseline')} AS baseline, "
+            f"{r('delta')} AS delta, {r('pct_contrib')} AS pct_contrib FROM drivers",
+            *risky, *four, PRIMARY, changes(6),
+        ),
+        "order_segment_breakdown": _sql(
+            "SELECT date_trunc('month', ds)::DATE AS month, dimension, segment, round(sum(revenue), 2) AS revenue, "
+            "sum(orders)::BIGINT AS orders FROM segments GROUP BY ALL",
+            RAW, *four,
+        ),
+        "pipeline_order_segment": _sql(
+            "SELECT a.ds, a.kpi, count(v.rank) AS listed FROM alerts a JOIN days d USING (ds) "
+            "LEFT JOIN drivers v ON v.anomaly_ds = a.ds AND v.dimension = 'order_segment' GROUP BY ALL",
+            *over, *four, PRIMARY, changes(),
+        ),
         "primary_kpi": _sql("SELECT * FROM days", *risky, PRIMARY),
         "segment_changes": _sql(
             f"SELECT anomaly_ds, dimension, segment, {r('today')} AS today, {r('baseline')} AS baseline, {r('delta')} AS delta FROM changes",

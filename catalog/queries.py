@@ -18,6 +18,7 @@ from tidewarden.functions.columns import detectors_from_text, detectors_text
 from tidewarden.functions.message import EVIDENCE_TYPE, root_cause_summary_json
 from tidewarden.operators import alerts as al
 from tidewarden.operators import feeds
+from tidewarden.operators.bands import ORDER_SEGMENT, band, exact_cuts, order_values, with_order_segment
 from tidewarden.operators.baseline import add_rolling_stats, fill_gaps
 from tidewarden.operators.facts import RawTables, order_facts
 from tidewarden.operators.iforest import score_forest
@@ -145,7 +146,9 @@ def q_kpi_daily_from_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_kpi_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_series(spark, sf)).drop("series_id")
+    """The same from the totals of a roll-up that has a dimension too."""
+    rollup = daily_rollup(raw_tables(spark, sf), ("customer_state",))
+    return rounded(_in_cents(kpi_daily_from_rollup(rollup))).drop("series_id")
 
 
 def q_kpi_daily_by_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,6 +278,56 @@ def q_segment_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return _segments(spark, sf).drop("series_id")
 
 
+BANDED = FIXTURE.with_(dimensions=(*FIXTURE.dimensions, ORDER_SEGMENT))
+
+
+def _banded(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily segments of all dimensions, the order segment included, by way of a table."""
+    raw, step = raw_tables(spark, sf), Steps(shared_folder(spark))
+    cuts = exact_cuts(step(order_values(raw), "values"))
+    return _segments_of(step(daily_rollup(raw, BANDED.dimensions, order_cuts=cuts), "rollup", ("dimension",)))
+
+
+def q_order_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of each band of order value."""
+    values = Steps(shared_folder(spark))(order_values(raw_tables(spark, sf)), "values")
+    banded = values.withColumn("band", band(F.col("value"), exact_cuts(values)))
+    return banded.groupBy("band").agg(
+        F.count(F.lit(1)).alias("orders"), F.min("value").alias("least"), F.max("value").alias("most"), F.round(F.sum("value"), 2).alias("amount")
+    )
+
+
+def q_order_segment_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return _banded(spark, sf).where(F.col("dimension") == ORDER_SEGMENT).drop("series_id", "dimension")
+
+
+def q_order_segment_from_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the row-level mart."""
+    raw = raw_tables(spark, sf)
+    cuts = exact_cuts(Steps(shared_folder(spark))(order_values(raw), "values"))
+    segments = segment_daily(with_order_segment(order_facts(raw), raw, cuts), (ORDER_SEGMENT,))
+    return rounded(segments, 2).drop("series_id", "dimension")
+
+
+def q_order_segment_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """Top drivers over four dimensions."""
+    days = primary_kpi(_features(spark, sf), FIXTURE)
+    changes = rounded(segment_changes(days, _banded(spark, sf), BANDED))
+    return rounded(top_drivers(changes, BANDED).drop("series_id"))
+
+
+def q_order_segment_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(feeds.breakdown(_banded(spark, sf)), 2).drop("series_id")
+
+
+def q_pipeline_order_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job with four dimensions: what its evidence lists for the fourth."""
+    r = run_pipeline(spark, raw_tables(spark, sf), shared_folder(spark), BANDED)
+    document = F.from_json("root_cause_json", EVIDENCE_TYPE)
+    blocks = read_alerts(spark, r.alerts_path).select("ds", "kpi", F.inline(document["evidence"]))
+    return blocks.where(F.col("dimension") == ORDER_SEGMENT).select("ds", "kpi", F.size("top").cast("bigint").alias("listed"))
+
+
 def q_primary_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return primary_kpi(_features(spark, sf), FIXTURE).drop("series_id")
 

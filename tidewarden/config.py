@@ -63,6 +63,12 @@ class EngineConfig:
     dimensions: tuple[str, ...] = DEFAULT_DIMENSIONS
     top_n: int = 5
     lookback_days: int = 30
+    order_bands: int = 4
+    """Bands of order value, where ``order_segment`` is among the dimensions."""
+    order_cuts: tuple[float, ...] = ()
+    """The values between bands; without them they are quantiles of all orders."""
+    order_cuts_exact: bool = True
+    """Whether these quantiles are exact or from a sketch."""
 
     scenario_enabled: bool = True
     scenario_seed: int = 42
@@ -108,6 +114,9 @@ class EngineConfig:
             "dimensions": cause.get("dimensions"),
             "top_n": cause.get("top_n"),
             "lookback_days": cause.get("lookback_days"),
+            "order_bands": cause.get("order_bands"),
+            "order_cuts": cause.get("order_cuts"),
+            "order_cuts_exact": cause.get("order_cuts_exact"),
             "scenario_enabled": bool(scenario.get("enabled", False)),
             "scenario_seed": scenario.get("seed"),
             "scenario_events": tuple(
@@ -121,7 +130,7 @@ class EngineConfig:
                 for e in scenario.get("events", ())
             ),
         }
-        for key in ("kpis", "dimensions"):
+        for key in ("kpis", "dimensions", "order_cuts"):
             if given[key] is not None:
                 given[key] = tuple(given[key])
         return cls(**{k: v for k, v in given.items() if v is not None})

@@ -1,8 +1,8 @@
 """Which segments drove the change of a flagged day.
 
-All flagged days and dimensions are explained in one plan: each day is paired with the
-dates of its lookback, so that meeting the segment metrics is an equality join on
-(series, date) rather than a range join or a query per day.
+All flagged days and dimensions are explained in one plan: each day is laid on the calendar
+of each segment of its series, where a window by date reads its lookback, rather than by a
+range join, a join per date or a query per day.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions.message import EVIDENCE_TYPE
 CUT = 50
 LISTED = 5
 ZERO_TOTAL = 1e-9
+SALTS = 32
 
 
 def primary_kpi(long: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -40,35 +41,63 @@ def primary_kpi(long: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+def flagged_segments(days: DataFrame, segments: DataFrame) -> DataFrame:
+    """Each flagged day with each segment of its series: ``(series_id, dimension, segment,
+    ds, primary_kpi)``. A series brings its flagged days, which the calendar bounds, to its
+    segments in ``SALTS`` copies, so that those of one long series meet in many tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    dated = days.where(F.col("ds").isNotNull())
+    listed = dated.groupBy("series_id").agg(F.collect_list(F.struct("ds", "primary_kpi")).alias("flagged"))
+    key = ["series_id", "dimension", "segment"]
+    salt = F.pmod(F.xxhash64("dimension", "segment"), F.lit(SALTS)).cast("int").alias("salt")
+    named = segments.select(*key).distinct().select("*", salt)
+    met = join_same(named, listed.select("*", salts), ["series_id", "salt"])
+    return met.select(*key, F.inline("flagged"))
+
+
 def segment_changes(days: DataFrame, segments: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Today's metric of each segment against its mean over the lookback.
 
     The metric is revenue where revenue is the primary metric, else delivered orders.
     The mean covers the days a segment appears on. Segments of either side appear; the
-    unknown segment of today and that of the lookback do not match each other, so their
-    side is part of the key.
+    unknown segment of today and that of the lookback do not match each other.
+
+    Flagged days meet the segments of their series, not their dates: one row per flagged
+    day and segment is laid on the segment's own days, and a window by date reads the
+    lookback there. So what is shuffled is a row per segment-day and one per flagged day
+    and segment, however long the lookback, and a partition is the calendar of a segment.
     """
-    metric = F.when(F.col("primary_kpi") == "revenue", F.col("revenue")).otherwise(
-        F.col("orders").cast("double")
-    )
-    dates = F.sequence(F.date_sub("anomaly_ds", cfg.lookback_days), F.col("anomaly_ds"))
-    dated = days.where(F.col("ds").isNotNull()).select("series_id", F.col("ds").alias("anomaly_ds"), "primary_kpi")
-    paired = join_same(dated.select("*", F.explode(dates).alias("ds")), segments, ["series_id", "ds"])
-    today = F.col("ds") == F.col("anomaly_ds")
-    sides = paired.select(
-        "series_id",
-        "anomaly_ds",
-        "dimension",
-        "segment",
-        F.when(F.col("segment").isNull(), today).alias("unknown_today"),
-        F.when(today, metric).alias("today"),
-        F.when(~today, metric).alias("before"),
+    key = ["series_id", "dimension", "segment"]
+    measures = {"revenue": F.col("revenue"), "orders": F.col("orders").cast("double")}
+    known = segments.where(F.col("ds").isNotNull()).select(*key, "ds", *[c.alias(m) for m, c in measures.items()])
+    asked = flagged_segments(days, segments)
+    none = [F.lit(None).cast("double").alias(m) for m in measures]
+    laid = known.select("*", F.lit(None).cast("string").alias("primary_kpi"), F.lit(False).alias("asked"))
+    laid = laid.unionByName(asked.select(*key, "ds", *none, "primary_kpi", F.lit(True).alias("asked")))
+    by_date = Window.partitionBy(*key).orderBy(F.unix_date("ds").cast("bigint"))
+    today, before = by_date.rangeBetween(0, 0), by_date.rangeBetween(-cfg.lookback_days, -1)
+    of = lambda frame, fn: F.struct(*[fn(m).over(frame).alias(m) for m in measures])
+    appears = F.count(F.when(~F.col("asked"), 1))
+    read = laid.select(
+        *key, "ds", "primary_kpi", "asked",
+        of(today, F.sum).alias("t"), of(before, F.avg).alias("b"),
+        appears.over(today).alias("on"), appears.over(before).alias("earlier"),
+    ).where("asked")
+    pick = lambda side: F.coalesce(F.when(F.col("primary_kpi") == "revenue", F.col(f"{side}.revenue")).otherwise(F.col(f"{side}.orders")), F.lit(0.0))
+    zero, unknown = F.lit(0.0), F.col("segment").isNull()
+    side = lambda mark, t, b: F.struct(mark.alias("unknown_today"), t.alias("today"), b.alias("baseline"))
+    both = F.array(side(F.lit(None).cast("boolean"), pick("t"), pick("b")))
+    apart = F.filter(
+        F.array(
+            F.when(F.col("on") > 0, side(F.lit(True), pick("t"), zero)),
+            F.when(F.col("earlier") > 0, side(F.lit(False), zero, pick("b"))),
+        ),
+        lambda x: x.isNotNull(),
     )
-    changes = sides.groupBy("series_id", "anomaly_ds", "dimension", "segment", "unknown_today").agg(
-        F.coalesce(F.sum("today"), F.lit(0.0)).alias("today"),
-        F.coalesce(F.avg("before"), F.lit(0.0)).alias("baseline"),
+    found = read.where((F.col("on") > 0) | (F.col("earlier") > 0)).select(
+        "series_id", F.col("ds").alias("anomaly_ds"), "dimension", "segment", F.inline(F.when(unknown, apart).otherwise(both))
     )
-    return changes.withColumn("delta", F.col("today") - F.col("baseline"))
+    return found.withColumn("delta", F.col("today") - F.col("baseline"))
 
 
 def top_drivers(changes: DataFrame, cfg: EngineConfig) -> DataFrame:

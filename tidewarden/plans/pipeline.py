@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions.columns import join_same
 from ..operators.alerts import build_alerts
+from ..operators.bands import ORDER_SEGMENT, cuts_of_sketches, exact_cuts, order_values, value_sketch
 from ..operators.baseline import ROLLING_COLUMNS, add_rolling_stats
 from ..operators.detect import FLAG_COLUMNS, detect_anomalies
 from ..operators.facts import RawTables
@@ -69,6 +70,19 @@ def _edge(df: DataFrame, series_col: str | None) -> DataFrame:
     return df if series_col else df.drop("series_id")
 
 
+def order_cuts(raw: RawTables, cfg: EngineConfig, step: Steps) -> list[float] | None:
+    """The values between bands of orders, if the settings ask for that dimension: those
+    given, or quantiles of all orders."""
+    if ORDER_SEGMENT not in cfg.dimensions:
+        return None
+    if cfg.order_cuts:
+        return sorted(cfg.order_cuts)
+    values = step(order_values(raw), "order_values")
+    if cfg.order_cuts_exact:
+        return exact_cuts(values, cfg.order_bands)
+    return cuts_of_sketches(step(value_sketch(values), "order_value_sketch"), cfg.order_bands)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: RawTables,
@@ -89,7 +103,8 @@ def run_pipeline(
 
     step = Steps(f"{out}/_steps")
     # By dimension, so that reading the totals skips the segments.
-    rollup = step(daily_rollup(raw, cfg.dimensions, series_col, fanout), "rollup", ("dimension",))
+    daily = daily_rollup(raw, cfg.dimensions, series_col, fanout, order_cuts(raw, cfg, step))
+    rollup = step(daily, "rollup", ("dimension",))
     series = step(apply_scenarios(kpi_daily_from_rollup(rollup), cfg), "series")
 
     report = step(quality_report(series), "quality")
