@@ -453,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "segment_daily": _sql("SELECT ds, dimension, segment, revenue, orders FROM segments", RAW, SEGMENTS),
         "segment_daily_rollup": _sql("SELECT ds, dimension, segment, revenue, orders FROM segments", RAW, SEGMENTS),
+        "rollup_incremental": _sql("SELECT ds, dimension, segment, revenue, orders FROM segments", RAW, SEGMENTS),
         "order_bands": _sql(
             "SELECT order_segment AS band, count(*) AS orders, min(value) AS least, max(value) AS most, round(sum(value), 2) AS amount "
             "FROM banded GROUP BY 1",
@@ -545,6 +546,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score, detector_count FROM meaningful", *over
         ),
         "cooldown": _sql(f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score FROM sent", *over),
+        "cooldown_stream": _sql(f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score FROM sent", *over),
         "notifications_ranked": _sql(
             f"SELECT ds, kpi, risk_rank, {r('abs(z_score)')} AS abs_z, detector_count FROM sent", *over
         ),

@@ -22,6 +22,7 @@ from tidewarden.operators.bands import ORDER_SEGMENT, band, exact_cuts, order_va
 from tidewarden.operators.baseline import add_rolling_stats, fill_gaps
 from tidewarden.operators.facts import RawTables, order_facts
 from tidewarden.operators.iforest import score_forest
+from tidewarden.operators.incremental import read_rollup, rollup_delta, update_rollup, write_rollup
 from tidewarden.operators.kpis import kpi_daily, kpi_daily_from_rollup, to_long
 from tidewarden.operators.quality import quality_report, quality_status
 from tidewarden.operators.rollup import daily_rollup, segment_daily, segment_daily_from_rollup
@@ -38,6 +39,7 @@ from tidewarden.plans.orchestration import orchestrate_alerts
 from tidewarden.plans.pipeline import features, run_pipeline, wide_features
 from tidewarden.sources.shared import shared_folder
 from tidewarden.sources.tables import RAW_COLUMNS, RAW_FILES, Steps, read_alerts, read_raw, stage_raw, write_table
+from tidewarden.streaming.cooldown import send_alerts
 
 from .adapter import raw_tables
 
@@ -328,6 +330,23 @@ def q_pipeline_order_segment(spark: SparkSession, sf: str) -> DataFrame:
     return blocks.where(F.col("dimension") == ORDER_SEGMENT).select("ds", "kpi", F.size("top").cast("bigint").alias("listed"))
 
 
+def q_rollup_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments of a roll-up that was made from earlier data and then given the changes:
+    orders that came later, others that were delivered after all, and late vouchers."""
+    now, path = raw_tables(spark, sf), f"{shared_folder(spark)}/rollup"
+    key, status = F.col("order_id"), F.col("order_status")
+    flipped = F.when(status == "delivered", "shipped").otherwise("delivered")
+    before = replace(
+        now,
+        orders=now.orders.where(key % 50 != 3).withColumn("order_status", F.when(key % 50 == 7, flipped).otherwise(status)),
+        payments=now.payments.where((key % 100 != 0) | (F.col("payment_type") != "voucher")),
+    )
+    changed = now.orders.where((key % 50).isin(3, 7) | (key % 100 == 0)).select("order_id")
+    write_rollup(daily_rollup(before, FIXTURE.dimensions), path)
+    update_rollup(spark, path, rollup_delta(before, now, changed, FIXTURE.dimensions), 1)
+    return _segments_of(read_rollup(spark, path)).drop("series_id")
+
+
 def q_primary_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return primary_kpi(_features(spark, sf), FIXTURE).drop("series_id")
 
@@ -382,6 +401,19 @@ def q_cooldown(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sent.select("ds", "kpi", "risk_level", "z_score"))
 
 
+def q_cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from alerts that arrive in three parts, each a run of the stream."""
+    folder, found = shared_folder(spark), al.meaningful_alerts(_alerts(spark, sf))
+    days = found.agg(F.min("ds").alias("first"), F.max("ds").alias("last")).first()
+    third = F.floor(F.datediff("ds", F.lit(days["first"])) * 3 / (F.datediff(F.lit(days["last"]), F.lit(days["first"])) + 1))
+    for n in range(3):
+        found.where(third == n).write.mode("append").parquet(f"{folder}/alerts")
+        stream = spark.readStream.schema(found.schema).parquet(f"{folder}/alerts")
+        send_alerts(stream, f"{folder}/sent", f"{folder}/checkpoint", FIXTURE.cooldown_days)
+    sent = spark.read.schema(found.schema).parquet(f"{folder}/sent")
+    return rounded(sent.select("ds", "kpi", "risk_level", "z_score"))
+
+
 def q_notifications_ranked(spark: SparkSession, sf: str) -> DataFrame:
     sent = al.apply_cooldown(al.meaningful_alerts(_alerts(spark, sf)), FIXTURE.cooldown_days)
     return rounded(al.prioritise(sent).select("ds", "kpi", "risk_rank", "abs_z", "detector_count"))

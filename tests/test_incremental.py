@@ -47,7 +47,7 @@ PAID = [("o1", "card", 1.0), ("o2", "card", 1.0), ("o2", "voucher", 1.0), ("o6",
 def test_inserts_late_payments_status_changes_and_deletions(spark, series_col):
     before, path = shop(spark, START, PAID), folder()
     options = {"series_col": series_col}
-    write_rollup(daily_rollup(before, DIMS, **options), path)
+    write_rollup(daily_rollup(before, DIMS, **options), path, "day")
     assert rows(read_rollup(spark, path)) == rows(daily_rollup(before, DIMS, **options))
     batches = [
         # An order inserted, one paid late a second time.
@@ -64,27 +64,29 @@ def test_inserts_late_payments_status_changes_and_deletions(spark, series_col):
         changed = spark.createDataFrame([(i,) for i in ids], "order_id string")
         after = with_changes(now, shop(spark, orders, payments), changed)
         delta = rollup_delta(now, after, changed, DIMS, **options)
-        days = update_rollup(spark, path, delta, n)
+        days = update_rollup(spark, path, delta, n, "day")
         assert (days == 0) == (n == 4)
         want = rows(daily_rollup(after, DIMS, **options))
         assert rows(read_rollup(spark, path)) == want
-        assert update_rollup(spark, path, delta, n) == 0 and rows(read_rollup(spark, path)) == want
+        assert update_rollup(spark, path, delta, n, "day") == 0 and rows(read_rollup(spark, path)) == want
         now = after
 
 
-def test_only_touched_days_are_written_and_read(spark):
+def test_only_touched_periods_are_written_and_read(spark):
     whole, path = raw_tables(spark, SF), folder()
     write_rollup(daily_rollup(whole, DIMS), path)
-    stamps = {p: os.stat(f"{path}/{p}").st_mtime_ns for p in os.listdir(path) if p.startswith("ds=")}
-    changed = whole.orders.where("order_id % 500 = 1").select("order_id")
+    before = {p: {f.name for f in os.scandir(f"{path}/{p}") if f.name.endswith("parquet")} for p in os.listdir(path) if p.startswith("period=")}
+    own = whole.orders.where("order_id % 500 = 1")
     after = replace(whole, orders=whole.orders.withColumn("order_status", F.when(F.col("order_id") % 500 == 1, "canceled").otherwise(F.col("order_status"))))
-    delta = rollup_delta(whole, after, changed, DIMS)
-    days = {str(r["ds"]) for r in delta.select("ds").distinct().collect()}
-    assert 0 < update_rollup(spark, path, delta, 1) == len(days) < len(stamps)
+    delta = rollup_delta(whole, after, own.select("order_id"), DIMS)
+    days = {r["ds"] for r in delta.select("ds").distinct().collect()}
+    months = {f"period={x.replace(day=1)}" for x in days}
+    assert 0 < update_rollup(spark, path, delta, 1) == len(months) < len(before)
     assert rows(read_rollup(spark, path)) == rows(daily_rollup(after, DIMS))
-    files = {p: {f.name for f in os.scandir(f"{path}/{p}")} for p in stamps}
-    batches = spark.read.parquet(path).groupBy("ds").agg(F.max("batch").alias("b")).where("b = 1")
-    assert {str(r["ds"]) for r in batches.collect()} == days and len(files) == len(stamps)
+    now = {p: {f.name for f in os.scandir(f"{path}/{p}") if f.name.endswith("parquet")} for p in before}
+    assert {p for p in now if now[p] != before[p]} == months
+    with pytest.raises(ValueError):
+        update_rollup(spark, path, delta, 2, "week")
 
 
 def sent(spark, path):

@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 from ..functions.columns import day, number, timestamp
 
 FANOUT = ("faithful", "dedup")
+COLUMNS = (
+    "order_id",
+    "purchase_ts",
+    "purchase_date",
+    "order_status",
+    "customer_state",
+    "product_id",
+    "price",
+    "freight_value",
+    "product_category_name",
+    "payment_type",
+    "payment_value",
+)
 HOT_ROWS = 100_000
 SALTS = 32
 
@@ -74,11 +87,14 @@ def order_payments(raw: RawTables, fanout: str = "faithful") -> DataFrame:
     )
 
 
-def _hot(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Orders with more than ``hot_rows`` rows: one in so many rows at most, which bounds
-    what is broadcast of them."""
-    counts = rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    return F.broadcast(counts.select("order_id", F.lit(True).alias("hot")))
+def hot_orders(raw: RawTables, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(order_id, many_items, many_payments)`` of orders with more than ``hot_rows`` rows
+    of either: one in so many rows at most. Only ids are read, and counted before they move."""
+    items = raw.items.select("order_id", F.lit(1).alias("item"), F.lit(0).alias("payment"))
+    payments = raw.payments.select("order_id", F.lit(0).alias("item"), F.lit(1).alias("payment"))
+    counts = items.unionByName(payments).groupBy("order_id").agg(F.sum("item").alias("items"), F.sum("payment").alias("payments"))
+    many = [(F.col(c) > hot_rows).alias(f"many_{c}") for c in ("items", "payments")]
+    return counts.select("order_id", *many).where("many_items OR many_payments")
 
 
 def _spread(rows: DataFrame, hot: DataFrame, salt: str) -> DataFrame:
@@ -97,11 +113,15 @@ def order_facts(raw: RawTables, fanout: str = "faithful", hot_rows: int = HOT_RO
     """The mart. An order with several payments repeats its items once for each
     (``faithful``); orders without items are not in it.
 
-    An order with very many items or payments, found by a count of its rows, is dealt out
-    by a salt and its other side repeated, so that it is joined in ``SALTS`` tasks.
+    Orders with very many items or payments are found first, by a count. Where there are
+    some, they are dealt out by a salt and their other side is repeated, so that each is
+    joined in ``SALTS`` tasks; where there are none, as nearly always, the joins are plain.
     """
     payments = order_payments(raw, fanout)
-    many_items, many_payments = _hot(raw.items, hot_rows), _hot(raw.payments, hot_rows)
+    hot = hot_orders(raw, hot_rows)
+    if hot.isEmpty():
+        return order_headers(raw).join(priced_items(raw), "order_id").join(payments, "order_id", "left").select(*COLUMNS)
+    many_items, many_payments = (hot.where(f"many_{x}").select("order_id", F.lit(True).alias("hot")) for x in ("items", "payments"))
     items = _spread(priced_items(raw), many_items, "item_salt")
     lines = _repeat(order_headers(raw), many_items, "item_salt").drop("hot").join(items, ["order_id", "item_salt"])
     paid = _spread(payments, many_payments, "paid_salt").withColumn("paid", F.lit(True))
@@ -111,17 +131,5 @@ def order_facts(raw: RawTables, fanout: str = "faithful", hot_rows: int = HOT_RO
         .join(paid, ["order_id", "item_salt", "paid_salt"], "left")
         # A salt that no payment of a hot order has stands for no missing payment.
         .where(F.col("paid").isNotNull() | F.col("hot").isNull())
-        .select(
-            "order_id",
-            "purchase_ts",
-            "purchase_date",
-            "order_status",
-            "customer_state",
-            "product_id",
-            "price",
-            "freight_value",
-            "product_category_name",
-            "payment_type",
-            "payment_value",
-        )
+        .select(*COLUMNS)
     )

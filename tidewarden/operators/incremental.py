@@ -1,9 +1,9 @@
 """The daily roll-up kept up to date by signed changes.
 
 A roll-up is a sum over orders, so changed orders change it by the roll-up of their new rows
-less that of their old ones. Only these orders are read and joined; only the days they touch
-are read from the store and written again. Each row carries the number of the last batch
-added to its day, so a batch that was cut off, or is run again, adds to no day twice.
+less that of their old ones. Only these orders are read and joined; only the periods they
+touch are read from the store and written again. Each row carries the number of the last
+batch added to its period, so a batch that was cut off, or is run again, adds to none twice.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_DIMENSIONS
@@ -21,7 +21,8 @@ from .rollup import TOTAL, daily_rollup
 
 KEY = ("series_id", "ds", "dimension", "segment")
 COUNTS = ("orders", "failed", "total")
-STORED = "series_id string, dimension string, segment string, revenue double, orders bigint, failed bigint, total bigint, batch bigint, ds date"
+STORED = "series_id string, dimension string, segment string, revenue double, orders bigint, failed bigint, total bigint, ds date, batch bigint, period date"
+PERIODS = ("day", "month", "year")
 LEAST = 5e-7
 """Revenue below this is what adding doubles in another order leaves of zero."""
 
@@ -63,10 +64,23 @@ def _summed(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_rollup(rollup: DataFrame, path: str, batch: int = 0) -> None:
-    """A roll-up as the store's first state, partitioned by day."""
-    kept = _summed(rollup).withColumn("batch", F.lit(batch).cast("bigint"))
-    kept.write.mode("overwrite").partitionBy("ds").parquet(path)
+def _period(unit: str) -> Column:
+    if unit not in PERIODS:
+        raise ValueError(f"unit must be one of {PERIODS}")
+    return (F.col("ds") if unit == "day" else F.trunc("ds", unit)).alias("period")
+
+
+def _write(rows: DataFrame, path: str, batch: int, mode: str) -> None:
+    """Periods as partitions, in few files each; large ones are split where the adaptive
+    rebalancing finds them so."""
+    kept = rows.withColumn("batch", F.lit(batch).cast("bigint")).hint("rebalance", "period")
+    kept.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("period").parquet(path)
+
+
+def write_rollup(rollup: DataFrame, path: str, unit: str = "month") -> None:
+    """A roll-up as the store's first state, replacing what is there. ``unit`` is the
+    period that is written as a whole: days where a day is large, else months or years."""
+    _write(_summed(rollup).withColumn("period", _period(unit)), path, 0, "static")
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
@@ -76,38 +90,37 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
     """The roll-up of a store, as ``daily_rollup`` returns it. Revenue of a segment of which
     no price is known reads zero."""
-    there = (F.col("total") > 0) | (F.col("orders") > 0) | ((F.col("dimension") != TOTAL) & (F.abs("revenue") >= LEAST))
-    return _stored(spark, path).where(there).select(*KEY, "revenue", *COUNTS)
+    return _stored(spark, path).where(_there()).select(*KEY, "revenue", *COUNTS)
+
 
+def _there() -> Column:
+    return (F.col("total") > 0) | (F.col("orders") > 0) | ((F.col("dimension") != TOTAL) & (F.abs("revenue") >= LEAST))
 
-def update_rollup(spark: SparkSession, path: str, delta: DataFrame, batch: int) -> int:
-    """Adds a ``rollup_delta`` to a store and returns the number of days written.
 
-    ``batch`` numbers the changes upwards. Days that already have it, or a later one, are
-    left alone, so running a batch again is safe. A day that loses all its orders keeps
-    empty totals. The days, which the calendar bounds, are looked up by the driver, so that
-    only their partitions are read.
+def _among(periods: list) -> Column:
+    known = F.coalesce(F.col("period").isin([x for x in periods if x is not None]), F.lit(False))
+    return known | F.col("period").isNull() if None in periods else known
+
+
+def update_rollup(spark: SparkSession, path: str, delta: DataFrame, batch: int, unit: str = "month") -> int:
+    """Adds a ``rollup_delta`` to a store and returns the number of periods written.
+
+    ``batch`` numbers the changes upwards, from 1. Periods that already have it, or a later
+    one, are left alone, so running a batch again is safe. A period that loses all its
+    orders keeps empty totals. The periods, which the calendar bounds, are looked up by the
+    driver, so that only their partitions are read. ``unit`` is that of ``write_rollup``.
     """
     step = new_steps(spark, "rollup-delta")
-    delta = step(delta, "delta")
-    days = [r["ds"] for r in delta.select("ds").distinct().collect()]
-    if not days:
-        return 0
-    touched = F.col("ds").isin([x for x in days if x is not None])
-    if None in days:
-        touched = touched | F.col("ds").isNull()
-    stored = _stored(spark, path).where(touched)
-    done = [r["ds"] for r in stored.where(F.col("batch") >= batch).select("ds").distinct().collect()]
-    open_ = [x for x in days if x not in done]
+    delta = step(delta.withColumn("period", _period(unit)), "delta")
+    touched = [r["period"] for r in delta.select("period").distinct().collect()]
+    stored = _stored(spark, path).where(_among(touched))
+    done = [r["period"] for r in stored.where(F.col("batch") >= batch).select("period").distinct().collect()]
+    open_ = [x for x in touched if x not in done]
     if not open_:
         return 0
-    still = F.col("ds").isin([x for x in open_ if x is not None])
-    if None in open_:
-        still = F.coalesce(still, F.lit(False)) | F.col("ds").isNull()
-    measures = [*KEY, "revenue", *COUNTS]
-    merged = _summed(stored.where(still).select(*measures).unionByName(delta.where(still).select(*measures)))
-    filled = (F.col("total") > 0) | (F.col("orders") > 0) | (F.abs("revenue") >= LEAST) | (F.col("dimension") == TOTAL)
+    columns = [*KEY, "revenue", *COUNTS]
+    both = stored.where(_among(open_)).select(*columns).unionByName(delta.where(_among(open_)).select(*columns))
+    merged = _summed(both).where(_there() | (F.col("dimension") == TOTAL)).withColumn("period", _period(unit))
     # By way of a table, as the partitions read are those to be replaced.
-    merged = step(merged.where(filled).withColumn("batch", F.lit(batch).cast("bigint")), "merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(path)
+    _write(step(merged, "merged"), path, batch, "dynamic")
     return len(open_)
