@@ -529,9 +529,12 @@ def oracle_sql() -> dict[str, str]:
         "orchestration_messages": _sql(
             "SELECT ds, kpi, risk_level, message FROM messages JOIN sent USING (ds, kpi)", *over, SEGMENTS, PRIMARY, changes(6), MESSAGES
         ),
-        "iforest_scores": _sql(
-            f"SELECT 'all' AS series_id, ds, {r('iforest_score')} AS iforest_score, iforest_raw FROM forest", *plain, forest("series")
-        ),
+        **{
+            name: _sql(
+                f"SELECT 'all' AS series_id, ds, {r('iforest_score')} AS iforest_score, iforest_raw FROM forest", *plain, forest("series")
+            )
+            for name in ("iforest_scores", "iforest_fit_and_score")
+        },
         "detect_flags_with_forest": _sql(
             f"SELECT ds, kpi, {flag_columns} FROM flags", *rolled, forest("series"), flags(True)
         ),

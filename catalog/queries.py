@@ -21,7 +21,7 @@ from tidewarden.operators import feeds
 from tidewarden.operators.bands import ORDER_SEGMENT, band, exact_cuts, order_values, with_order_segment
 from tidewarden.operators.baseline import add_rolling_stats, fill_gaps
 from tidewarden.operators.facts import RawTables, order_facts
-from tidewarden.operators.iforest import score_forest
+from tidewarden.operators.iforest import fit_forest, score_days, score_forest
 from tidewarden.operators.incremental import read_rollup, rollup_delta, update_rollup, write_rollup
 from tidewarden.operators.kpis import kpi_daily, kpi_daily_from_rollup, to_long
 from tidewarden.operators.quality import quality_report, quality_status
@@ -218,6 +218,13 @@ def q_iforest_scores(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(score_forest(_series(spark, sf), WITH_FOREST))
 
 
+def q_iforest_fit_and_score(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a forest that was fitted and stored before."""
+    step, series = Steps(shared_folder(spark)), _series(spark, sf)
+    forest = step(fit_forest(series, WITH_FOREST), "forest")
+    return rounded(score_days(forest, series, WITH_FOREST))
+
+
 def q_detect_flags_with_forest(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf, WITH_FOREST).select("ds", "kpi", *FLAGS)
 
