@@ -58,6 +58,35 @@ def test_runs_are_levelled_and_tell_new_lines(spark, docs):
     assert sorted(map(tuple, runs.common(3).collect())) == sorted(map(tuple, whole.common(3).collect()))
 
 
+def test_each_hash_is_new_in_one_run(spark, docs):
+    runs = LineRuns(spark, fanout=9)
+    lines = hashed_lines(docs, "doc_id", "text")
+    seen = set()
+    for n in range(4):
+        runs.add(lines.where(f"id % 4 = {n}"))
+        run = runs.runs()[-1].bucketed.collect()
+        assert {r["hash"] for r in run if not r["known"]}.isdisjoint(seen)
+        assert {r["hash"] for r in run if r["known"]} <= seen
+        seen |= {r["hash"] for r in run}
+    assert any(r["known"] for r in run)
+
+
+def test_runs_are_met_without_a_shuffle(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        runs = LineRuns(spark, fanout=9)
+        lines = hashed_lines(docs, "doc_id", "text")
+        for n in range(3):
+            runs.add(lines.where(f"id % 3 = {n}"))
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        batch = lines.selectExpr("explode(hashes) AS hash").groupBy("hash").count()
+        assert exchanges(runs.told(batch)) == exchanges(batch) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_odd_rows_clashing_names_and_empty_input(odd, empty):
     got = dedup_lines(odd, min_docs=3, min_chars=10)
     assert got.columns == [*odd.columns, "n_lines", "n_dropped"]

@@ -1,11 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a table of line hashes, sorted, with the number of documents that hold each and
-the largest id among them. Every batch of documents adds a run at level 0; as soon as a
-level holds ``fanout`` runs they are merged into one of the next level, so a hash is
-rewritten once per level and a batch meets few runs. A batch is merge-anti-joined with
-the runs to tell which of its lines are new, and after the last batch with those hashes
-that are common enough to be dropped.
+A run is a table of line hashes, bucketed and sorted by hash, with the number of documents
+that hold each and the largest id among them. Every batch of documents is merge-anti-joined
+with the runs: hashes that no run holds are new, the others only add to what is known, and
+both go into the batch's own run at level 0, marked apart. As soon as a level holds
+``fanout`` runs they are merged into one of the next level, so a hash is rewritten once per
+level and a batch meets few runs. A batch is shuffled by hash once, for its own counts; the
+runs it meets have the same buckets and are not shuffled.
 
 Documents are never gathered: hashes travel, and texts meet the positions to drop in one
 join. A line that a third of all documents hold is one row of a run, made by a partial
@@ -14,7 +15,9 @@ aggregate, and meets its occurrences in a plain join that is broadcast or split.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ MIN_DOCS, MIN_CHARS = 5, 40
 FANOUT = 4
 BATCHES = 4
 BLANK = " \t\n\x0b\f\r"
-RUN = "hash bigint, n bigint, last bigint"
+RUN = "hash bigint, n bigint, last bigint, known boolean"
 
 
 def line_hash(line: Column, min_chars: int = MIN_CHARS) -> Column:
@@ -50,45 +53,72 @@ def hashed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int = M
     )
 
 
+class Run(NamedTuple):
+    bucketed: DataFrame
+    path: str
+
+
 class LineRuns:
-    """Levelled runs in a shared folder."""
+    """Levelled runs in a shared folder: ``hash``, sorted, ``n`` and ``last`` of a batch or
+    of several, and ``known``, true where an older run holds the hash already."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT) -> None:
         self.spark, self.fanout = spark, max(2, fanout)
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.step = new_steps(spark, "lineruns")
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[Run]] = []
         self._written = 0
 
     def _write(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self._written += 1
-        name = f"level-{level}-run-{self._written}"
-        self.levels[level].append(self.step(run.sortWithinPartitions("hash"), name))
-
-    @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionAll, runs).groupBy("hash").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-
-    def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
+        # Spark keeps buckets with a table's name only; the run as read holds them itself,
+        # so the name can go at once. The files stay.
+        name = f"line_run_{uuid.uuid4().hex}"
+        path = self.step.path(f"level-{level}-run-{self._written}")
+        writer = run.write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash")
+        writer.option("path", path).saveAsTable(name)
+        self.levels[level].append(Run(self.spark.table(name), path))
+        self.spark.sql(f"DROP TABLE {name}")
+
+    def _merge(self, runs: list[Run]) -> DataFrame:
+        """One row per hash. Runs are read here without their buckets: Spark takes a union of
+        bucketed scans for bucketed, but lays their column batches end to end, so that equal
+        hashes would stay apart."""
+        plain = [self.spark.read.schema(RUN).parquet(run.path) for run in runs]
+        both = reduce(DataFrame.unionAll, plain).groupBy("hash")
+        return both.agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.bool_and("known").alias("known"))
+
+    def runs(self) -> list[Run]:
+        """All runs, oldest first."""
+        return [run for level in reversed(self.levels) for run in level]
 
     def add(self, lines: DataFrame) -> None:
         """Adds the run of a batch of ``hashed_lines`` and compacts full levels."""
         each = lines.select("id", F.explode(F.array_distinct(F.array_compact("hashes"))).alias("hash"))
-        self._write(each.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")), 0)
+        batch = each.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
+        self._write(self.told(batch), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
             self._write(self._merge(full), level + 1)
             level += 1
 
+    def told(self, batch: DataFrame) -> DataFrame:
+        """A batch ``(hash, ...)`` with ``known``: whether a run holds the hash. Every hash
+        is new in exactly one run, so a batch meets the new ones of each run only. The rows
+        that are not known are the anti-join; the others come out of the same merge."""
+        columns, known = batch.columns, F.lit(False)
+        for n, run in enumerate(self.runs()):
+            flag = f"in_{n}"
+            batch = batch.join(run.bucketed.where(~F.col("known")).select("hash", F.lit(True).alias(flag)), "hash", "left")
+            known = known | F.col(flag).isNotNull()
+        return batch.select(*columns, known.alias("known"))
+
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The rows ``(id, row_hash, pos, hash)`` of a batch whose line no run holds."""
-        rows = positions(lines)
-        for run in self.runs():
-            rows = rows.join(run.select("hash"), "hash", "left_anti")
-        return rows.select("id", "row_hash", "pos", "hash")
+        return self.told(positions(lines)).where(~F.col("known")).select("id", "row_hash", "pos", "hash")
 
     def common(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """``(hash, last)`` of the lines that at least ``min_docs`` documents hold."""
