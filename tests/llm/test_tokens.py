@@ -7,13 +7,14 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import regex
 from tokenizers import Tokenizer
 
 from tidewarden.llm import bytebpe, counttree
-from tidewarden.llm.packing import best_fit, dff_bound, pack_documents, sequences
+from tidewarden.llm.packing import _open, _packer, best_fit, dff_bound, pack_documents, sequences
 from tidewarden.llm.wordbpe import WordTokenizer
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -169,6 +170,7 @@ def test_packing_is_whole_and_near_the_bound(docs, per_partition):
     by_doc, by_sequence = check_packing(rows, ids)
     assert by_doc == {i: len(v) for i, v in ids.items()}
     bound = dff_bound(np.bincount([r["length"] for r in rows], minlength=2049))
+    assert {r["least_sequences"] for r in rows} == {bound}
     assert len(by_sequence) <= bound + (1 if per_partition > 1000 else 3)
     if per_partition > 1000:
         real = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in sequences(docs, packed, WORDS).collect()}
@@ -177,6 +179,29 @@ def test_packing_is_whole_and_near_the_bound(docs, per_partition):
             assert real[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]].tolist() == want
 
 
+def test_certified_partitions_keep_their_sequences(spark):
+    def packed(part, lengths):
+        pdf = pd.DataFrame([(i, 0, 0, n, 0, part) for i, n in enumerate(lengths)], columns=["id", "piece", "start", "length", "ids_crc32", "part"])
+        return _packer(10)(pdf)
+
+    certified, gap = packed(0, [6, 6, 6, 4, 4, 3]), packed(1, [5, 4, 4, 3, 2, 2])
+    assert (certified["bins"] == certified["bound"]).all() and (gap["bins"] > gap["bound"]).all()
+    both = spark.createDataFrame(pd.concat([certified, gap]))
+    again = {(r["part"], r["bin"]) for r in both.where(_open(10, False)).collect()}
+    least = int(certified["least"].iloc[0])
+    assert again == {(0, least)} | {(1, b) for b, f in zip(gap["bin"], gap["fill"]) if f < 10}
+    assert {(r["part"], r["bin"]) for r in both.where(_open(10, True)).collect()} >= again
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 6])
+def test_more_rounds_never_need_more_sequences(docs, rounds):
+    packed = pack_documents(docs, WORDS, per_partition=25, rounds=rounds)
+    n = packed.select("sequence_id").distinct().count()
+    first = pack_documents(docs, WORDS, per_partition=25, rounds=1).select("sequence_id").distinct().count()
+    assert packed.first()["least_sequences"] <= n <= first
+    assert packed.count() == packed.select("doc_id", "piece").distinct().count()
+
+
 def test_odd_rows_and_empty_input(odd, empty):
     rows = pack_documents(odd, WORDS).collect()
     assert sum(r["piece"] == 0 for r in rows) == odd.count()

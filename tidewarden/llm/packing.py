@@ -2,11 +2,14 @@
 
 Pieces are dealt to partitions of a bounded number of rows, and each partition is packed
 best-fit decreasing by one task. Dual-feasible functions give a lower bound of the
-sequences that a partition needs; one that meets it is done. The others have a gap: the
-pieces of their sequences that are not full are pooled, dealt anew, so that partitions
-exchange documents, and packed again, until the whole meets its own bound or a round
-gains nothing. Rounds are tables; the driver sees a row of counts per round and the
-histogram of piece lengths, which the capacity bounds.
+sequences that a partition needs; one that meets it is certified: no packing of its pieces
+needs fewer, so its sequences are settled, but for the least filled one. The others have a
+gap: all their sequences that are not full are pooled with those, dealt anew, so that
+partitions exchange documents, and packed again, until the whole meets its own bound. Once
+no partition has a gap, or their exchange saves nothing, what is lost lies between the
+partitions, and the open sequences of all are pooled. A round that saves nothing is not
+taken. Rounds are tables; the driver sees a row of counts per round and the histogram of
+piece lengths, which the capacity bounds.
 """
 
 from __future__ import annotations
@@ -14,12 +17,11 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_steps
@@ -34,7 +36,7 @@ ROUNDS = 6
 TEXTS = 500
 """Documents that a worker tokenises at once."""
 PIECES = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-PACKED = PIECES + ", part bigint, bin bigint, offset bigint, fill bigint, bins bigint, bound bigint"
+PACKED = PIECES + ", part bigint, bin bigint, offset bigint, fill bigint, bins bigint, bound bigint, least bigint"
 
 
 def dff_bound(count: np.ndarray) -> int:
@@ -86,11 +88,19 @@ def _packer(capacity: int):
         bins, offsets = best_fit(lengths, capacity)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         bound = dff_bound(np.bincount(lengths, minlength=capacity + 1))
-        return pdf.assign(bin=bins, offset=offsets, fill=fill[bins], bins=len(fill), bound=bound)
+        return pdf.assign(bin=bins, offset=offsets, fill=fill[bins], bins=len(fill), bound=bound, least=int(fill.argmin()))
 
     return pack
 
 
+def _open(capacity: int, every: bool) -> Column:
+    """The sequences to pack again: those not full of partitions with a gap, and the least
+    filled one of each certified partition; or all that are not full."""
+    not_full = F.col("fill") < capacity
+    gap = F.col("bins") > F.col("bound")
+    return not_full if every else not_full & (gap | (F.col("bin") == F.col("least")))
+
+
 def _cutter(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
@@ -135,7 +145,9 @@ def pack_documents(
     per_partition: int = PER_PARTITION,
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """One row per piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset``.
+    """One row per piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset``
+    and ``least_sequences``, below which no packing of all pieces can go: if as many
+    sequences occur, the packing is certified as the best there is.
 
     Every document is packed whole unless it is longer than ``capacity``. A null or empty
     text is a piece of one id; repeated rows are packed as often as they come; a null id
@@ -148,29 +160,42 @@ def pack_documents(
     count = np.zeros(capacity + 1, dtype=np.int64)
     for row in lengths:
         count[row["length"]] = row["count"]
-    bound, waiting, done, settled = dff_bound(count), int(count.sum()), 0, []
-    total = None
-    for turn in range(max(1, rounds)):
+    bound, waiting = dff_bound(count), int(count.sum())
+
+    def pack(pool: DataFrame, waiting: int, turn: int) -> tuple[DataFrame, int]:
         parts = max(1, math.ceil(waiting / per_partition))
         part = F.pmod(F.xxhash64("id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts))
-        packed = pool.select("id", "piece", "start", "length", "ids_crc32", part.alias("part"))
-        packed = step(packed.groupBy("part").applyInPandas(_packer(capacity), PACKED), f"round-{turn}")
-        used = packed.groupBy("part").agg(F.max("bins").alias("bins")).agg(F.sum("bins").alias("bins")).first()["bins"] or 0
-        full = F.col("fill") == capacity
-        before, total = total, done + used
+        dealt = pool.select("id", "piece", "start", "length", "ids_crc32", part.alias("part"))
+        packed = step(dealt.groupBy("part").applyInPandas(_packer(capacity), PACKED), f"round-{turn}")
         packed = packed.withColumn("turn", F.lit(turn))
-        if total <= bound or (before is not None and total >= before) or turn + 1 == rounds:
-            settled.append(packed)
+        return packed, packed.where(F.col("offset") == 0).count()
+
+    whole, total = pack(pool, waiting, 0)
+    every = False
+    for turn in range(1, max(1, rounds)):
+        if total <= bound:
+            break
+        every = every or whole.where(F.col("bins") > F.col("bound")).isEmpty()
+        again = _open(capacity, every)
+        rest = whole.where(again)
+        waiting, freed = rest.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).first()
+        packed, used = pack(rest, waiting, turn)
+        if used < freed:
+            whole, total = whole.where(~again).unionAll(packed), total - freed + used
+        elif every:
             break
-        settled.append(packed.where(full))
-        open_ = packed.where(~full)
-        waiting = open_.count()
-        closed = packed.where(full & (F.col("offset") == 0)).count()
-        done, pool = done + closed, open_
-    everything = reduce(DataFrame.unionAll, settled)
+        else:
+            every = True
     sequence = F.expr("(CAST(turn AS BIGINT) << 56) | (part << 20) | bin")
-    return everything.select(
-        F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset"
+    return whole.select(
+        F.col("id").alias(id_col),
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        sequence.alias("sequence_id"),
+        "offset",
+        F.lit(bound).cast("bigint").alias("least_sequences"),
     )
 
 
