@@ -379,6 +379,34 @@ messages AS (
   FROM sent JOIN summaries USING (ds))"""
 
 
+RAW_NAMES = {
+    "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
+    "customers": ("customer_id", "customer_state"),
+    "items": ("order_id", "product_id", "price", "freight_value"),
+    "products": ("product_id", "product_category_name"),
+    "payments": ("order_id", "payment_type", "payment_value"),
+}
+
+
+def csv_types() -> str:
+    """The type of each raw column, from the texts of its values."""
+    number, day = "[-+]?[0-9]+", "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    parts = []
+    for table, columns in RAW_NAMES.items():
+        for c in columns:
+            x = f"CAST({c} AS VARCHAR)"
+            like = lambda pattern: f"bool_and(regexp_full_match({x}, '{pattern}'))"
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, CASE "
+                f"WHEN {like(number)} AND bool_and(TRY_CAST({x} AS BIGINT) IS NOT NULL) THEN 'bigint' "
+                f"WHEN bool_and(TRY_CAST({x} AS DOUBLE) IS NOT NULL) FILTER ({c} IS NOT NULL) THEN 'double' "
+                f"WHEN {like(day)} THEN 'date' "
+                f"WHEN bool_and(TRY_CAST({x} AS TIMESTAMP) IS NOT NULL) FILTER ({c} IS NOT NULL) THEN 'timestamp_ntz' "
+                f"ELSE 'string' END AS column_type, count({c}) AS n_values FROM r_{table}"
+            )
+    return " UNION ALL ".join(parts)
+
+
 def _sql(select: str, *ctes: str) -> str:
     recursive = "RECURSIVE " if any("sent_days" in c for c in ctes) else ""
     return f"WITH {recursive}{', '.join(c.strip() for c in ctes)}\n{select}"
@@ -429,6 +457,7 @@ def oracle_sql() -> dict[str, str]:
         "kpi_daily_rollup": _sql(daily, *plain),
         "kpi_daily_from_mart": _sql(daily, *plain),
         "raw_csv_to_kpi": _sql(daily, *plain),
+        "raw_csv_types": _sql(csv_types(), RAW),
         "kpi_daily_by_state": _sql(daily.replace("SELECT ds", "SELECT series_id, ds"), *by_state),
         "kpi_long": _sql(f"SELECT ds, kpi, {r('v')} AS value FROM long", *plain, long("series")),
         "rolling_stats": _sql(

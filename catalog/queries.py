@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from tidewarden.operators.scenario import apply_scenarios
 from tidewarden.plans.orchestration import orchestrate_alerts
 from tidewarden.plans.pipeline import features, run_pipeline, wide_features
 from tidewarden.sources.shared import shared_folder
+from tidewarden.sources.sniff import column_types, read_csv_strings
 from tidewarden.sources.tables import RAW_COLUMNS, RAW_FILES, Steps, read_alerts, read_raw, stage_raw, write_table
 from tidewarden.streaming.cooldown import send_alerts
 
@@ -169,6 +171,16 @@ def q_raw_csv_to_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_in_cents(kpi_daily_from_rollup(daily_rollup(staged, ())))).drop("series_id")
 
 
+def q_raw_csv_types(spark: SparkSession, sf: str) -> DataFrame:
+    """The types found in the five inputs as CSV."""
+    raw, folder, found = raw_tables(spark, sf), shared_folder(spark), []
+    for name, columns in RAW_COLUMNS.items():
+        path = write_table(getattr(raw, name).select(*columns), f"{folder}/raw/{RAW_FILES[name]}", "csv")
+        types = column_types(read_csv_strings(spark, path)).drop("position")
+        found.append(types.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- baselines, detectors, risk ------------------------------------------------------
 
 
