@@ -456,6 +456,7 @@ def oracle_sql() -> dict[str, str]:
         "kpi_daily": _sql(daily, *plain),
         "kpi_daily_rollup": _sql(daily, *plain),
         "kpi_daily_from_mart": _sql(daily, *plain),
+        "kpi_daily_stream": _sql(daily, *plain),
         "raw_csv_to_kpi": _sql(daily, *plain),
         "raw_csv_types": _sql(csv_types(), RAW),
         "kpi_daily_by_state": _sql(daily.replace("SELECT ds", "SELECT series_id, ds"), *by_state),

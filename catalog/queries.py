@@ -42,6 +42,7 @@ from tidewarden.sources.shared import shared_folder
 from tidewarden.sources.sniff import column_types, read_csv_strings
 from tidewarden.sources.tables import RAW_COLUMNS, RAW_FILES, Steps, read_alerts, read_raw, stage_raw, write_table
 from tidewarden.streaming.cooldown import send_alerts
+from tidewarden.streaming.daily import DailyStream, update_daily
 
 from .adapter import raw_tables
 
@@ -155,6 +156,23 @@ def q_kpi_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_in_cents(kpi_daily_from_rollup(rollup))).drop("series_id")
 
 
+def q_kpi_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from tables that arrive in three parts, each a run of the stream: orders
+    by their dates; items and payments by order number, so before their order or after."""
+    at, whole = shared_folder(spark), raw_tables(spark, sf)
+    days = F.to_date("order_purchase_timestamp")
+    ends = whole.orders.agg(F.min(days).alias("first"), F.max(days).alias("last")).first()
+    third = F.floor(F.datediff(days, F.lit(ends["first"])) * 3 / (F.datediff(F.lit(ends["last"]), F.lit(ends["first"])) + 1))
+    parts = {"orders": F.coalesce(third, F.lit(0)), "items": F.col("order_id") % 3, "payments": (F.col("order_id") + 1) % 3}
+    to = DailyStream(f"{at}/daily", "year")
+    for n in range(3):
+        for name, part in parts.items():
+            getattr(whole, name).where(part == n).write.mode("append").parquet(f"{at}/{name}")
+        arriving = {name: spark.readStream.schema(getattr(whole, name).schema).parquet(f"{at}/{name}") for name in parts}
+        update_daily(spark, replace(whole, **arriving), to, keep_days=4000)
+    return rounded(_in_cents(kpi_daily_from_rollup(read_rollup(spark, to.rollup)))).drop("series_id")
+
+
 def q_kpi_daily_by_state(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_series(spark, sf, "customer_state"))
 

@@ -70,17 +70,18 @@ def _period(unit: str) -> Column:
     return (F.col("ds") if unit == "day" else F.trunc("ds", unit)).alias("period")
 
 
-def _write(rows: DataFrame, path: str, batch: int, mode: str) -> None:
+def _write(rows: DataFrame, path: str, batch: int, mode: str, save: str = "overwrite") -> None:
     """Periods as partitions, in few files each; large ones are split where the adaptive
     rebalancing finds them so."""
     kept = rows.withColumn("batch", F.lit(batch).cast("bigint")).hint("rebalance", "period")
-    kept.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("period").parquet(path)
+    kept.write.mode(save).option("partitionOverwriteMode", mode).partitionBy("period").parquet(path)
 
 
-def write_rollup(rollup: DataFrame, path: str, unit: str = "month") -> None:
-    """A roll-up as the store's first state, replacing what is there. ``unit`` is the
-    period that is written as a whole: days where a day is large, else months or years."""
-    _write(_summed(rollup).withColumn("period", _period(unit)), path, 0, "static")
+def write_rollup(rollup: DataFrame, path: str, unit: str = "month", save: str = "overwrite") -> None:
+    """A roll-up as the store's first state, replacing what is there (``save="ignore"``:
+    unless there is one). ``unit`` is the period that is written as a whole: days where a
+    day is large, else months or years."""
+    _write(_summed(rollup).withColumn("period", _period(unit)), path, 0, "static", save)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
