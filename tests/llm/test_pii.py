@@ -5,6 +5,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewarden.llm.feistel import Feistel
 from tidewarden.llm.pii import Pseudonyms, luhn_digit, pseudonymise
@@ -133,3 +134,124 @@ def test_values_after_a_phone_number_are_their_own():
     new, spans = Pseudonyms(KEY).text(text)
     assert [s[2] for s in spans] == ["phone", "iso", "phone", "ssn", "phone", "ip"]
     assert Pseudonyms(KEY, back=True).text(new)[0] == text
+
+
+LEAKS = [
+    ("secret", "api_key=", "k3" * 150, ""),
+    ("secret", "token=", "eyJhbGciOi1.eyJzdWIiOiIxMjM0.SflKxwRJSM_eKKF2QT4fwp-Meg", "."),
+    ("secret", "password: ", "abc/def+gh1=xyz99", ", then"),
+    ("secret", "Authorization: Bearer ", "abcd1234efgh5678", "\n"),
+    ("secret", "Authorization: Basic ", "dXNlcjpwYXNz", ""),
+    ("secret", "sent bearer ", "abcd1234.efgh~5678", " on"),
+    ("secret", "secret = ", "hunter22!pass", ""),
+    ("secret", '{"password": "', "correct horse 1 battery", '"}'),
+    ("secret", "pwd='", "it 1s long", "'"),
+    ("email", "", "l" * 70 + "@mail8.example.com", ""),
+    ("email", ">.-", "bob.x@mail8.example.com", ""),
+    ("ipv6", "", "2001:db8::8a2e:370:7334", ". It"),
+    ("ipv6", "at [", "FE80:0:0:0:202:B3FF:FE1E:8329", "]:443"),
+    ("ipv6", "", "fe80::1", ": up"),
+    ("us", "call me at ", "2125550123", "."),
+    ("us", "tel:", "2125550123", ""),
+]
+
+
+@pytest.mark.parametrize(("kind", "before", "value", "after"), LEAKS)
+def test_whole_values_go(kind, before, value, after):
+    text = f"see {before}{value}{after}"
+    new, spans = Pseudonyms(KEY).text(text)
+    start = text.index(value)
+    assert [(s[2], s[0], s[1]) for s in spans] == [(kind, start, start + len(value))]
+    assert len(new) == len(text) and not any(p in new for p in re.findall(r"[A-Za-z0-9]{6,}", value) if p not in ("example",))
+    assert Pseudonyms(KEY, back=True).text(new)[0] == text
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["std::vector a::b :: x", "at 12:30:45 and 00:1A:2B:3C:4D:5E", "Authorization: basic authentication", "the bearer certificates", "password: required field", "order 2125550123", "token: short1", "2001:db8::12345", "-.@x.com"],
+)
+def test_what_only_looks_like_it_stays(text):
+    assert Pseudonyms(KEY).text(text) == (text, [])
+
+
+def test_equal_starts_of_long_secrets_and_odd_signs():
+    n = Pseudonyms(KEY)
+    a, b = (n.secret("a1" * 128 + tail * 300) for tail in "xy")
+    assert a[:256] == b[:256] and len(a) == 556 and a[256:] != b[256:]
+    odd = "pässwörd²İ12345"
+    assert len(n.secret(odd)) == len(odd) and Pseudonyms(KEY, back=True).secret(n.secret(odd)) == odd
+    long = "password=" + "aB3/" * 250_000
+    assert Pseudonyms(KEY, back=True).text(n.text(long)[0])[0] == long
+
+
+WORDS = ("token", "secret", "password", "passwd", "pwd", "api-key", "api_key", "apikey", "access-key", "access_key", "accesskey")
+
+
+def plain_secrets(text: str) -> list[tuple[int, int]]:
+    """What follows a word that announces a secret, found sign by sign."""
+    out, at, low = [], 0, text.lower()
+    while at < len(text):
+        word = next((w for w in WORDS if low.startswith(w, at)), None)
+        if word is None or at and text[at - 1].isascii() and text[at - 1].isalnum():
+            at += 1
+            continue
+        i = at + len(word)
+        i += text[i : i + 1] in ('"', "'") and text[i : i + 1] != ""
+        blank = len(text[i:]) - len(text[i:].lstrip(" \t"))
+        i += blank
+        if blank > 4 or text[i : i + 1] not in (":", "="):
+            at += 1
+            continue
+        i += 1
+        blank = len(text[i:]) - len(text[i:].lstrip(" \t"))
+        i += blank
+        if blank > 4:
+            at += 1
+            continue
+        quote, stop = text[i : i + 1], -1
+        if quote in ('"', "'"):
+            i += 1
+            stop = text.find(quote, i)
+            if stop == i or "\n" in text[i : max(stop, i)] or "\r" in text[i : max(stop, i)]:
+                stop = -1
+        if stop < 0:
+            stop = i
+            while stop < len(text) and not text[stop].isspace() and text[stop] not in "\"'":
+                stop += 1
+            value = text[i:stop].rstrip(".,;:!?)]}>")
+        else:
+            value = text[i:stop]
+        if not text[i:stop]:
+            at += 1
+            continue
+        if len(value) >= 8 and any(c in "0123456789" for c in value):
+            out.append((i, i + len(value)))
+        at = max(stop, at + 1)
+    return out
+
+
+PIECES = st.lists(
+    st.sampled_from(["token", "Password", "api_key", "xsecret", "=", ": ", " ", "     ", '"', "'", "abc12345", "hunter22!pass", "a.b/c+d=9~", "\n", ".", "é", "long words 12"]),
+    max_size=14,
+).map("".join)
+
+
+@given(PIECES)
+@settings(max_examples=400, deadline=None)
+def test_secrets_against_a_plain_search(text):
+    assert [s[:2] for s in Pseudonyms(KEY).secrets(text)] == plain_secrets(text)
+
+
+def test_table_secrets_against_a_plain_search(docs):
+    # The test tables announce no secret by a word; every third text gets one in its middle.
+    half = F.floor(F.length("text") / 2).cast("int")
+    told = F.concat(F.substring("text", F.lit(1), half), F.lit(" api_key = z/9"), F.sha2("text", 256), F.lit("!. "), F.substring("text", half + 1, F.length("text")))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, told).otherwise(F.col("text")))
+    got = {r["doc_id"]: r for r in pseudonymise(docs, KEY).collect()}
+    some = 0
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        want = plain_secrets(text or "")
+        spans = {(s["start"], s["stop"]) for s in got[doc_id]["pii_spans"] if s["kind"] == "secret"}
+        assert set(want) <= spans
+        some += len(want)
+    assert some > 0

@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data.
 
 Numbers, dates and addresses are found by pattern and kept only where they are valid
-(check digits, ranges, calendar). Each is permuted under a key among the valid values of
+(check digits, ranges, calendar). Secrets are what follows a word that announces them, up to
+white space or the closing quote. Each is permuted under a key among the valid values of
 its own format: a card stays a card with a right check digit, a date a date. It is one
 permutation for a kind of value, whatever its separators, so equal values stay linked
 across documents, and different ones apart. Who has the key can go back
@@ -14,6 +15,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable
 from datetime import date
+from ipaddress import IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,12 +45,28 @@ _ARROW = pa.struct(
 
 _DIGIT = re.compile(r"[0-9]")
 _EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9_%+][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
+    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 )
 _SECRET = re.compile(
-    r"(?<![A-Za-z0-9])(?:(AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
-    r"|(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)[ \t]{0,4}[:=][ \t]{0,4}[\"']?([A-Za-z0-9_\-]{8,256}))"
+    r"(?<![A-Za-z0-9])(?:(?P<aws>AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
+    r"|(?i:authorization)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?(?i:bearer|basic|token)[ \t]{1,4}(?P<header>[^\s\"']++)"
+    r"|(?i:bearer)[ \t]{1,4}(?P<bearer>[A-Za-z0-9._~+/=\-]++)"
+    r"|(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,4}[:=][ \t]{0,4}"
+    r"(?:\"(?P<double>[^\"\r\n]++)\"|'(?P<single>[^'\r\n]++)'|[\"']?(?P<plain>[^\s\"']++)))"
 )
+"""Values go on to white space or their closing quote, however long."""
+_MIXED = re.compile(r"[a-z][A-Z]")
+_AFTER = ".,;:!?)]}>"
+"""Signs at the end of a value without quotes that belong to the sentence."""
+SHORTEST = 8
+CHUNK = 256
+"""Signs that are permuted together; longer values are permuted piece by piece."""
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?!\w|:[0-9A-Fa-f:]|\.[0-9])")
+_TOLD = re.compile(
+    r"(?<![A-Za-z])(?i:phone|telephone|tel|mobile|cell|call|fax|sms)[ \t.:#=]{0,4}(?i:(?:number|no|us|me|at|on|is)[ \t.:#]{1,3}){0,3}"
+    r"(?P<us>[2-9][0-9]{2}[2-9][0-9]{6})(?![0-9])"
+)
+"""Ten digits without separators are a phone number only where a word says so."""
 _NUMBER = re.compile(
     r"(?<![\w.])(?:"
     r"(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])"
@@ -95,11 +113,22 @@ class Pseudonyms:
         return self.feistel.permute(x, size, tweak.encode(), inside, self.back)
 
     def letters(self, text: str, tweak: str, hexadecimal: bool = False) -> str:
-        """Letters and digits permuted together, each within its own class."""
-        if hexadecimal and re.fullmatch(r"[0-9a-f]+", text):
+        """ASCII letters and digits permuted together, each within its own class; other
+        signs are the format. Of a text longer than ``CHUNK`` each piece is permuted under
+        a key that depends on the pseudonym of the piece before."""
+        hexadecimal = hexadecimal and re.fullmatch(r"[0-9a-f]+", text) is not None
+        out: list[str] = []
+        for at in range(0, max(len(text), 1), CHUNK):
+            piece = text[at : at + CHUNK]
+            after = "" if not at else f"/{text[at - CHUNK : at] if self.back else out[-1]}"
+            out.append(self._piece(piece, tweak + after, hexadecimal))
+        return "".join(out)
+
+    def _piece(self, text: str, tweak: str, hexadecimal: bool) -> str:
+        if hexadecimal:
             return f"{self._move(int(text, 16), 16 ** len(text), f'{tweak}/x{len(text)}'):0{len(text)}x}"
-        low = text.lower()
-        base = [10 if c.isdigit() else 26 if "a" <= c <= "z" else 1 for c in low]
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        base = [10 if "0" <= c <= "9" else 26 if "a" <= c <= "z" else 1 for c in low]
         x, size = 0, 1
         for c, b in zip(low, base):
             x = x * b + (int(c) if b == 10 else ord(c) - 97 if b == 26 else 0)
@@ -118,7 +147,7 @@ class Pseudonyms:
         return f"{self.letters(name, 'name')}@{self.letters(labels, 'host')}.{top}"
 
     def secret(self, text: str) -> str:
-        if text.startswith("AKIA") and len(text) == 20:
+        if re.fullmatch("AKIA[0-9A-Z]{16}", text):
             digits = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
             x = self._move(int(text[4:], 36), 36**16, "akia")
             out = ""
@@ -135,6 +164,31 @@ class Pseudonyms:
         x = self._move(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, "ip")
         return ".".join(map(str, x.to_bytes(4, "big")))
 
+    def ipv6(self, text: str) -> str | None:
+        """The hexadecimal digits permuted in place, so an address is linked as it is
+        written. Capital letters stay so; mixed ones become capitals. A decimal digit is
+        among them before and after, which tells addresses from names such as ``a::b``."""
+        try:
+            IPv6Address(text)
+        except ValueError:
+            return None
+        n = text.replace(":", "")
+        upper = n != n.lower()
+
+        def written(v: int) -> str:
+            return f"{v:0{len(n)}x}"
+
+        def inside(v: int) -> bool:
+            w = written(v)
+            return _DIGIT.search(w) is not None and (not upper or not w.isdigit())
+
+        if not n or not inside(int(n, 16)):
+            return None
+        shape = "".join(":" if c == ":" else "x" for c in text)
+        new = written(self._move(int(n, 16), 16 ** len(n), f"ipv6/{upper}/{shape}", inside))
+        rest = iter(new.upper() if upper else new)
+        return "".join(c if c == ":" else next(rest) for c in text)
+
     def ssn(self, text: str) -> str | None:
         area, group, serial = map(int, text.split("-"))
         if not (0 < area < 900 and area != 666 and group and serial):
@@ -231,6 +285,8 @@ class Pseudonyms:
 
     def of(self, kind: str, value: str) -> str | None:
         at = (kind, value)
+        if len(value) > CHUNK:
+            return getattr(self, kind)(value)
         if at not in self.seen:
             if len(self.seen) > 100_000:
                 self.seen.clear()
@@ -261,18 +317,40 @@ class Pseudonyms:
         kind = m and next((k for k in ("ip", "iso", "day", "ssn", "card") if m[k]), None)
         return bool(kind) and self.of(kind, m[0]) is not None
 
+    def secrets(self, text: str) -> list[tuple[int, int, str, str]]:
+        """Keys and what follows a word that announces a secret, if it is ``SHORTEST`` or
+        longer and holds a digit, which tells it from prose; in an authorization header
+        capitals after small letters do too."""
+        found = []
+        for m in _SECRET.finditer(text):
+            kind = m.lastgroup
+            value = m[kind].rstrip(_AFTER) if kind in ("header", "bearer", "plain") else m[kind]
+            if kind == "aws" or len(value) >= SHORTEST and (_DIGIT.search(value) or kind == "header" and _MIXED.search(value)):
+                start = m.start(kind)
+                found.append((start, start + len(value), "secret", self.of("secret", value)))
+        return found
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """``(start, stop, kind, pseudonym)`` in order; where two overlap, secrets go
         before addresses and these before numbers, then the earlier."""
         found: list[tuple[int, int, str, str]] = []
-        if "AKIA" in text or "=" in text or ":" in text:
-            for m in _SECRET.finditer(text):
-                group = 1 if m[1] else 2
-                if group == 1 or _DIGIT.search(m[2]):
-                    found.append((*m.span(group), "secret", self.of("secret", m[group])))
+        found += self.secrets(text)
         if "@" in text:
-            found += [(*m.span(), "email", self.of("email", m[0])) for m in _EMAIL.finditer(text)]
+            for m in _EMAIL.finditer(text):
+                own = m[0].lstrip(".-")
+                if not own.startswith("@"):
+                    found.append((m.end() - len(own), m.end(), "email", self.of("email", own)))
         if _DIGIT.search(text):
+            if "::" in text or text.count(":") >= 7:
+                for m in _IPV6.finditer(text):
+                    own = m[0] if m[0].endswith("::") else m[0].removesuffix(":")
+                    new = self.of("ipv6", own)
+                    if new is not None:
+                        found.append((m.start(), m.start() + len(own), "ipv6", new))
+            for m in _TOLD.finditer(text):
+                new = self.of("us", m["us"])
+                if new is not None:
+                    found.append((*m.span("us"), "us", new))
             m = _NUMBER.search(text)
             while m:
                 span = self.number(m)
@@ -306,8 +384,8 @@ def pseudonymise(
     """``docs`` with pseudonyms in the text, and ``pii_spans`` (kind, start and stop in
     code points of the original text, pseudonym) and ``n_pii``.
 
-    Kinds: email, secret, ip, iso and day (dates), ssn, card, us and phone, iban. Values
-    that are not valid stay. A null text stays null with no spans; an empty one is
+    Kinds: email, secret, ip, ipv6, iso and day (dates), ssn, card, us and phone, iban.
+    Values that are not valid stay. A null text stays null with no spans; an empty one is
     empty. Rows are taken one by one, so repeated rows come out alike. All other columns
     are passed through; an input column named like an output is replaced.
     """
