@@ -49,9 +49,9 @@ _EMAIL = re.compile(
 )
 _SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?:(?P<aws>AKIA[0-9A-Z]{16})(?![0-9A-Za-z])"
-    r"|(?i:authorization)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?(?i:bearer|basic|token)[ \t]{1,4}(?P<header>[^\s\"']++)"
-    r"|(?i:bearer)[ \t]{1,4}(?P<bearer>[A-Za-z0-9._~+/=\-]++)"
-    r"|(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,4}[:=][ \t]{0,4}"
+    r"|(?ai:authorization)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?(?ai:bearer|basic|token)[ \t]{1,4}(?P<header>[^\s\"']++)"
+    r"|(?ai:bearer)[ \t]{1,4}(?P<bearer>[A-Za-z0-9._~+/=\-]++)"
+    r"|(?ai:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,4}[:=][ \t]{0,4}"
     r"(?:\"(?P<double>[^\"\r\n]++)\"|'(?P<single>[^'\r\n]++)'|[\"']?(?P<plain>[^\s\"']++)))"
 )
 """Values go on to white space or their closing quote, however long."""
@@ -63,10 +63,13 @@ CHUNK = 256
 """Signs that are permuted together; longer values are permuted piece by piece."""
 _IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?!\w|:[0-9A-Fa-f:]|\.[0-9])")
 _TOLD = re.compile(
-    r"(?<![A-Za-z])(?i:phone|telephone|tel|mobile|cell|call|fax|sms)[ \t.:#=]{0,4}(?i:(?:number|no|us|me|at|on|is)[ \t.:#]{1,3}){0,3}"
+    r"(?<![A-Za-z])(?ai:phone|telephone|tel|mobile|cell|call|fax|sms)[ \t.:#=]{0,4}(?ai:(?:number|no|us|me|at|on|is)[ \t.:#]{1,3}){0,3}"
     r"(?P<us>[2-9][0-9]{2}[2-9][0-9]{6})(?![0-9])"
 )
 """Ten digits without separators are a phone number only where a word says so."""
+_SECRET_WORDS = ("akia", "authorization", "bearer", "token", "secret", "passw", "pwd", "api", "access")
+_PHONE_WORDS = ("phone", "tel", "mobile", "cell", "call", "fax", "sms")
+"""Parts of words without which these patterns match nowhere, looked for first."""
 _NUMBER = re.compile(
     r"(?<![\w.])(?:"
     r"(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])"
@@ -334,7 +337,9 @@ class Pseudonyms:
         """``(start, stop, kind, pseudonym)`` in order; where two overlap, secrets go
         before addresses and these before numbers, then the earlier."""
         found: list[tuple[int, int, str, str]] = []
-        found += self.secrets(text)
+        low = text.lower()
+        if any(w in low for w in _SECRET_WORDS):
+            found += self.secrets(text)
         if "@" in text:
             for m in _EMAIL.finditer(text):
                 own = m[0].lstrip(".-")
@@ -347,7 +352,7 @@ class Pseudonyms:
                     new = self.of("ipv6", own)
                     if new is not None:
                         found.append((m.start(), m.start() + len(own), "ipv6", new))
-            for m in _TOLD.finditer(text):
+            for m in _TOLD.finditer(text) if any(w in low for w in _PHONE_WORDS) else ():
                 new = self.of("us", m["us"])
                 if new is not None:
                     found.append((*m.span("us"), "us", new))
