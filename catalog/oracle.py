@@ -579,6 +579,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score, detector_count FROM meaningful", *over
         ),
         "cooldown": _sql(f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score FROM sent", *over),
+        "cooldown_long": _sql(f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score FROM sent", *over),
         "cooldown_stream": _sql(f"SELECT ds, kpi, risk_level, {r('z_score')} AS z_score FROM sent", *over),
         "notifications_ranked": _sql(
             f"SELECT ds, kpi, risk_rank, {r('abs(z_score)')} AS abs_z, detector_count FROM sent", *over

@@ -438,6 +438,13 @@ def q_cooldown(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sent.select("ds", "kpi", "risk_level", "z_score"))
 
 
+def q_cooldown_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by jumps from date to date, without a row that holds them all."""
+    step = Steps(shared_folder(spark))
+    sent = al.apply_cooldown(step(al.meaningful_alerts(_alerts(spark, sf)), "alerts"), FIXTURE.cooldown_days, long_histories=True)
+    return rounded(sent.select("ds", "kpi", "risk_level", "z_score"))
+
+
 def q_cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same from alerts that arrive in three parts, each a run of the stream."""
     folder, found = shared_folder(spark), al.meaningful_alerts(_alerts(spark, sf))

@@ -73,6 +73,17 @@ def test_cooldown_against_a_plain_loop(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("cooldown", [0, 1, 6])
+def test_jumps_give_what_the_fold_gives(spark, cooldown):
+    rng = random.Random(cooldown)
+    rows = [{"kpi": rng.choice(["revenue", None]), "series_id": rng.choice(["a", None]), "ds": d(rng.randint(1, 300)), "value": float(i)} for i in range(500)]
+    rows += [{"kpi": "aov", "ds": None}, {"kpi": "aov", "ds": None, "value": 2.0}, {"kpi": "orders", "ds": None}, {"kpi": "orders", "ds": d(5)}]
+    for part in (rows, rows[-4:], []):
+        df = alerts(spark, part)
+        got, want = (sorted(map(str, apply_cooldown(df, cooldown, long).collect())) for long in (True, False))
+        assert got == want and (got or not part)
+
+
 def test_priority(spark):
     rows = [("HIGH", 1.0, d(2)), ("HIGH", None, d(1)), ("LOW", 9.0, d(1)), ("HIGH", -1.0, d(1)), ("HIGH", 1.0, None)]
     df = alerts(spark, [{"risk_level": r, "z_score": z, "ds": x} for r, z, x in rows])

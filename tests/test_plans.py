@@ -252,3 +252,19 @@ def test_root_cause_plan(spark, no_broadcast):
     text = plan(contributions(days, seg, FIXTURE))
     assert "NestedLoop" not in text and "Cartesian" not in text and "SinglePartition" not in text
     assert text.count("WindowGroupLimit") == 2
+
+
+def test_counts_of_notifications_cost_no_scan(spark, monkeypatch):
+    source, out = folder(), folder()
+    rows = [{"ds": d(n), "z_score": 3.0} for n in range(1, 21)] + [{"ds": d(n), "kpi": "aov", "risk_level": "LOW", "z_score": 0.1} for n in range(1, 6)]
+    alerts(spark, rows).write.mode("overwrite").parquet(source)
+    for name in ("count", "first", "collect", "head"):
+        monkeypatch.setattr(type(spark.range(1)), name, lambda *_: pytest.fail("an action of its own"))
+    r = orchestrate_alerts(spark, source, f"{out}/n", 3)
+    monkeypatch.undo()
+    assert (r.input_alerts, r.meaningful_alerts, r.notifications_generated) == (25, 20, 7)
+    assert spark.read.parquet(f"{out}/n").count() == 7
+    none = alerts(spark, [])
+    none.write.mode("overwrite").parquet(source)
+    r = orchestrate_alerts(spark, source, f"{out}/n", 3)
+    assert (r.input_alerts, r.meaningful_alerts, r.notifications_generated) == (0, 0, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from ..functions.columns import (
     risk_rank,
 )
 from ..functions.message import alert_message, root_cause_summary_json
+from ..sources.shared import new_steps
 
 # What makes an alert worth sending.
 SENT_RISKS = ("HIGH", "MEDIUM")
@@ -143,10 +146,39 @@ def sent_dates(alerts: DataFrame, cooldown_days: int) -> DataFrame:
     return dates.select("series_id", "kpi", F.explode(kept).alias("ds"))
 
 
-def apply_cooldown(alerts: DataFrame, cooldown_days: int = 3) -> DataFrame:
+def sent_dates_by_jumps(alerts: DataFrame, cooldown_days: int) -> DataFrame:
+    """The same for long histories: no row ever holds the dates of a metric.
+
+    Each date points to the next that is far enough from it, and what is sent is what the
+    first date leads to. Jumps over 1, 2, 4, ... pointers, each table made by joining the
+    one before with itself, reach all of it in as many rounds as the logarithm of the
+    dates sent. Rounds are tables; they end when no date has so many after it.
+    """
+    step = new_steps(alerts.sparkSession, "cooldown")
+    keys = ["series_id", "kpi"]
+    # Backwards, as a frame that starts at its partition's end is added to row by row.
+    later = Window.partitionBy(*keys).orderBy(F.desc("__day")).rangeBetween(Window.unboundedPreceding, -max(1, cooldown_days))
+    days = alerts.where(F.col("ds").isNotNull()).select(*keys, "ds").distinct().withColumn("__day", F.unix_date("ds"))
+    jumps = days.select(*keys, "ds", F.min("ds").over(later).alias("to")).where(F.col("to").isNotNull())
+    jumps = step(jumps, "jumps-0")
+    # A metric without any date sends one undated alert.
+    reached = [step(alerts.groupBy(*keys).agg(F.min("ds").alias("ds")), "reached-0")]
+    while not jumps.isEmpty():
+        n = len(reached)
+        hops = join_same(reduce(DataFrame.unionByName, reached), jumps, [*keys, "ds"], "inner")
+        reached.append(step(hops.select(*keys, F.col("to").alias("ds")), f"reached-{n}"))
+        first = jumps.withColumnRenamed("to", "mid")
+        second = jumps.withColumnRenamed("ds", "mid")
+        jumps = step(join_same(first, second, [*keys, "mid"], "inner").select(*keys, "ds", "to"), f"jumps-{n}")
+    return reduce(DataFrame.unionByName, reached)
+
+
+def apply_cooldown(alerts: DataFrame, cooldown_days: int = 3, long_histories: bool = False) -> DataFrame:
     """Drops the alerts of a metric that follow a sent one too closely.
 
-    Of several alerts of one metric on one day the strongest is the one sent.
+    Of several alerts of one metric on one day the strongest is the one sent. With
+    ``long_histories`` dates are followed by joins, which pays where a metric alerted on
+    many thousand days; the result is the same.
     """
     strongest = Window.partitionBy("series_id", "kpi", "ds").orderBy(
         F.desc(risk_rank(F.col("risk_level"))),
@@ -158,7 +190,7 @@ def apply_cooldown(alerts: DataFrame, cooldown_days: int = 3) -> DataFrame:
     if cooldown_days <= 0:
         one = one | F.col("ds").isNotNull()
     candidates = alerts.withColumn("nth", F.row_number().over(strongest)).where(one).drop("nth")
-    dates = sent_dates(alerts, cooldown_days).select(*[F.col(c).alias(f"sent_{c}") for c in ("series_id", "kpi", "ds")])
+    dates = (sent_dates_by_jumps if long_histories else sent_dates)(alerts, cooldown_days).select(*[F.col(c).alias(f"sent_{c}") for c in ("series_id", "kpi", "ds")])
     same = [F.col(c).eqNullSafe(F.col(f"sent_{c}")) for c in ("series_id", "kpi", "ds")]
     return candidates.join(dates, same, "left_semi")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EngineConfig
@@ -112,11 +112,11 @@ def run_pipeline(
     kpi_path = write_table(_edge(series, series_col).orderBy(*order), f"{out}/kpi_daily", fmt)
     report_path = write_table(_edge(report, series_col), f"{out}/data_quality_report", fmt)
 
-    status = quality_status(report)
-    passed = status.where(F.col("validation_status") != "FAIL")
-    n = status.agg(
-        F.count(F.lit(1)).alias("series"), F.count_if(F.col("validation_status") != "FAIL").alias("passed")
-    ).first()
+    # The gate is observed while the status of each series is written.
+    gate, ok = Observation(), F.col("validation_status") != "FAIL"
+    status = quality_status(report).observe(gate, F.count(F.lit(1)).alias("series"), F.count_if(ok).alias("passed"))
+    passed = step(status, "status").where(ok)
+    n = {"series": 0, "passed": 0, **gate.get}
     if n["series"] and not n["passed"]:
         return PipelineResult(STOPPED, kpi_path, report_path, None)
 
