@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import fields
+from pathlib import Path
 
 import pytest
 
@@ -110,3 +111,36 @@ def test_nothing_arrives(spark):
     arrive(spark, at)
     update_daily(spark, streams(spark, at), to)
     assert read_rollup(spark, to.rollup).count() == 0 and late_rows(spark, to).count() == 0
+
+
+def test_no_python_runs_per_order_and_a_batch_run_again_adds_nothing(spark, monkeypatch):
+    """A Python call per order of each batch took hours on a million orders."""
+
+    def refused(*args, **options):
+        raise AssertionError("rows of a stream go through Python")
+
+    monkeypatch.setattr("pyspark.sql.DataFrame.mapInPandas", refused)
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandasWithState", refused)
+    at, to = folder(), DailyStream(folder(), "day")
+    steps = [
+        {"orders": [order("a", 10), order("a", 10), order("a", 11)], "items": [("a", "p1", 10.0, 0.0)]},
+        {"orders": [order("a", 10), order("b", 12)], "items": [("b", "p1", 20.0, 0.0), ("x", "p1", 1.0, 0.0)]},
+        {"orders": [order("late", 1), order("c", 60)], "items": [("late", "p1", 5.0, 0.0)], "payments": [("b", "card", 1.0)] * 2},
+    ]
+    for step in steps:
+        arrive(spark, at, **step)
+        update_daily(spark, streams(spark, at), to)
+
+    def found():
+        got = {str(r["ds"]): (r["revenue"], r["orders"]) for r in kpi_daily_from_rollup(read_rollup(spark, to.rollup)).collect()}
+        return got, {(r["late"], r["ds"]): r["n"] for r in late_rows(spark, to).collect()}
+
+    want = {str(d(10)): (30.0, 1), str(d(11)): (10.0, 1), str(d(12)): (40.0, 1)}, {("header", d(1)): 1, ("item", None): 2}
+    assert found() == want
+    # As if the run had been cut off before its last batch was marked as done.
+    commits = Path(to.checkpoint) / "commits"
+    last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (commits / f".{last.name}.crc").unlink(missing_ok=True)
+    update_daily(spark, streams(spark, at), to)
+    assert found() == want
