@@ -98,3 +98,9 @@ def test_odd_rows_clashing_names_and_empty_input(odd, empty):
     nulls = [r["text"] for r in got.where("doc_id IS NULL").collect()]
     assert nulls == ["", ""]
     assert dedup_lines(empty).count() == 0
+
+
+def test_a_line_is_lowered_once_for_its_hash_and_not_for_its_length(spark):
+    lines = hashed_lines(spark.createDataFrame([(1, "x")], "doc_id bigint, text string"), "doc_id", "text")
+    plan = lines._jdf.queryExecution().analyzed().toString()
+    assert plan.count("translate(") == 1

@@ -35,8 +35,9 @@ RUN = "hash bigint, n bigint, last bigint, known boolean"
 def line_hash(line: Column, min_chars: int = MIN_CHARS) -> Column:
     """64-bit hash of a line's key; null if the key is too short to count. Two keys that
     share a hash would be taken for one line (one chance in 2**64 for a pair)."""
-    key = lower_ascii(F.trim(line, F.lit(BLANK)))
-    return F.when(F.length(key) >= min_chars, F.xxhash64(key))
+    bare = F.trim(line, F.lit(BLANK))
+    # Lower-casing keeps the length, so short lines are not copied for it.
+    return F.when(F.length(bare) >= min_chars, F.xxhash64(lower_ascii(bare)))
 
 
 def split_lines(text: Column) -> Column:
